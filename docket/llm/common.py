@@ -74,3 +74,45 @@ def spread(df: DataFrame, mb: int = 4) -> DataFrame:
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of a text column, counted over all rows."""
     return df.select(F.sum(F.octet_length(column))).first()[0] or 0
+
+
+def map_column(rows: DataFrame, column: str, fields: str, start) -> DataFrame:
+    """Append columns computed from one column, in Arrow batches; all other columns pass unchanged, nulls and nested
+    types included. ``start()`` runs once a task and returns a function from the values of a batch to a list of
+    value lists, one for each of ``fields``. Columns of ``rows`` with the names of new ones are left out.
+    """
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    new = T._parse_datatype_string(fields)
+    kept = [f for f in rows.schema if f.name not in new.names]
+    types = [to_arrow_type(f.dataType) for f in new]
+    names = [f.name for f in kept] + new.names
+    at = rows.columns.index(column)
+    places = [i for i, c in enumerate(rows.columns) if c not in new.names]
+
+    def run(batches):
+        work = start()
+        for b in batches:
+            for lo, hi in _pieces(b.column(at)):
+                part = b.slice(lo, hi - lo)
+                made = [pa.array(v, type=t) for v, t in zip(work(part.column(at).to_pylist()), types)]
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in places] + made, names=names)
+
+    return rows.mapInArrow(run, T.StructType(kept + list(new)))
+
+
+def _pieces(values, limit: int = 8 << 20):
+    """Row ranges of a batch of about ``limit`` bytes each, one row at least, so that long texts don't pile up."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    length = pc.list_value_length if str(values.type).startswith(("list", "large_list")) else pc.binary_length
+    sizes = np.cumsum(pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False)) if len(values) else []
+    lo = 0
+    while lo < len(values):
+        base = int(sizes[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(sizes, base + limit, side="right")))
+        yield lo, hi
+        lo = hi

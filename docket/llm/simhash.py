@@ -13,13 +13,10 @@ since a pair that is skipped is connected already.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docket.llm.common import checkpointed, dropped, spread, stored
+from docket.llm.common import checkpointed, map_column, spread, stored
 from docket.llm.components import components
 from docket.llm.fingerprints import SHINGLE_WORDS, fingerprint
 
@@ -31,13 +28,11 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
     """``(id, fp)`` of every row; a null text counts as empty, and an empty text has fingerprint zero."""
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fps = [fingerprint(t, width) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"].astype("Int64"), "fp": [f - (1 << 64) if f >> 63 else f for f in fps]})
+    def hashed():
+        return lambda texts: [[f - (1 << 64) if f >> 63 else f for f in (fingerprint(t, width) for t in texts)]]
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return spread(rows).mapInPandas(hashed, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return map_column(spread(rows), "text", "fp long", hashed).select("id", "fp")
 
 
 def _variants(nodes: DataFrame) -> DataFrame:
@@ -58,29 +53,27 @@ def linked(nodes: DataFrame, bits: int = BITS) -> DataFrame:
     """``nodes(id, fp)`` with distinct fingerprints to ``(id, component)`` of all nodes that have a link."""
     if bits > BITS:
         raise ValueError(f"three segments with one wildcard each find up to {BITS} differing bits")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = checkpointed(nodes.repartition(parts, "id"))
     bucket = Window.partitionBy("key")
-    rows = _variants(nodes).withColumn("led", F.min(F.struct("id", "fp")).over(bucket)).withColumn("n", F.count("*").over(bucket))
-    rows = stored(rows.where("n > 1").select("key", "id", "fp", F.col("led.id").alias("led"), F.col("led.fp").alias("led_fp")), "variants")
-    first = components(rows.where((F.col("id") != F.col("led")) & _close("fp", "led_fp", bits)).select(F.col("id").alias("u"), F.col("led").alias("v")))
+    star = _variants(nodes).withColumn("led", F.min(F.struct("id", "fp")).over(bucket))
+    star = star.where((F.col("id") != F.col("led.id")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("led.fp"))) <= bits))
+    first = components(star.select(F.col("id").alias("u"), F.col("led.id").alias("v")))
     first = checkpointed(first)
 
-    # what the leaders left open: buckets that hold more than one component
-    known = rows.join(first, "id", "left").select("key", "id", "fp", F.coalesce("component", "id").alias("comp"))
-    sizes = known.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("comps")).where("comps > 1")
-    left = checkpointed(known.join(mixed.select("key", "major"), "key"))
-    a = left.where("comp <> major").select("key", F.col("id").alias("ia"), F.col("fp").alias("fa"), F.col("comp").alias("ca"), "major")
-    b = left.select("key", F.col("fp").alias("fb"), F.col("comp").alias("cb"))
-    # a pair of two minor components meets from both sides; one is enough
+    # What the leaders left open: rows of other components than the largest one of their bucket, against the rest.
+    sizes = first.groupBy("component").agg(F.count("*").alias("size"))
+    marked = nodes.join(first.join(sizes, "component"), "id", "left").select("fp", F.coalesce("component", "id").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"))
+    rows = _variants(checkpointed(marked.repartition(parts, "fp"))).withColumn("major", F.max(F.struct("size", "comp")).over(bucket)["comp"])
+    a = rows.where("comp <> major").select("key", F.col("fp").alias("fa"), F.col("comp").alias("ca"), "major")
+    b = rows.select("key", F.col("fp").alias("fb"), F.col("comp").alias("cb"))
+    # a pair of two other components would meet from both sides; one is enough
     met = a.join(b, (a["key"] == b["key"]) & (a["ca"] != b["cb"]) & ((b["cb"] == a["major"]) | (a["ca"] < b["cb"])) & _close("fa", "fb", bits))
-    more = met.select(F.col("ca").alias("u"), F.col("cb").alias("v")).distinct()
+    more = checkpointed(met.select(F.col("ca").alias("u"), F.col("cb").alias("v")).distinct())
     merged = components(more).select(F.col("id").alias("component"), F.col("component").alias("last"))
     singles = more.select(F.explode(F.array("u", "v")).alias("id")).distinct().select("id", F.col("id").alias("component"))
     every = first.union(singles.join(first, "id", "left_anti"))
-    out = every.join(merged, "component", "left").select("id", F.coalesce("last", "component").alias("component"))
-    out = checkpointed(out)
-    dropped(rows)
-    return out
+    return checkpointed(every.join(merged, "component", "left").select("id", F.coalesce("last", "component").alias("component")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, width: int = SHINGLE_WORDS) -> DataFrame:
