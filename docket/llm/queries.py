@@ -24,12 +24,24 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docket.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docket.llm.bpe import encode
 
     return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), with_ids=False)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docket.llm.rules import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docket.llm.toxicity import held_out, score, train
 
@@ -53,7 +65,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(turns))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op5_bpe_encode_decode, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op4_decontamination, op5_bpe_encode_decode, op6_quality_rules, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
 
 ORACLES: dict[str, str] = {
     "op10_chat_formatting": r"""
