@@ -42,6 +42,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docket.llm.common import fresh_path
+    from docket.llm.warc import read, write
+
+    folder = fresh_path(spark, "warc")
+    write(table(spark, sf_dir, "pages"), folder)
+    return read(spark, folder).drop("url")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docket.llm.toxicity import held_out, score, train
 
@@ -65,9 +74,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(turns))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op4_decontamination, op5_bpe_encode_decode, op6_quality_rules, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op4_decontamination, op5_bpe_encode_decode, op6_quality_rules, op7_warc, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
 
 ORACLES: dict[str, str] = {
+    "op7_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT payload_digest, payload_bytes, max(page_id) AS target FROM p WHERE payload_bytes >= 1000 GROUP BY 1, 2)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+  CASE WHEN p.page_id < m.target THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id < m.target THEN m.target END AS refers_to
+FROM p LEFT JOIN m USING (payload_digest, payload_bytes)""",
     "op10_chat_formatting": r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
