@@ -24,6 +24,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docket.llm.repeats import repeats
+
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    found = repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docket.llm.decontaminate import leaks
 
@@ -74,7 +82,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(turns))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op4_decontamination, op5_bpe_encode_decode, op6_quality_rules, op7_warc, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_suffix_array_dedup, op4_decontamination, op5_bpe_encode_decode, op6_quality_rules, op7_warc, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
 
 ORACLES: dict[str, str] = {
     "op7_warc": """
