@@ -24,6 +24,12 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docket.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docket.llm.repeats import repeats
 
@@ -82,7 +88,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(turns))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_suffix_array_dedup, op4_decontamination, op5_bpe_encode_decode, op6_quality_rules, op7_warc, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_quality_classifier, op3_suffix_array_dedup, op4_decontamination, op5_bpe_encode_decode, op6_quality_rules, op7_warc, op8_toxicity, op9_simhash_near_dedup, op10_chat_formatting)}
 
 ORACLES: dict[str, str] = {
     "op7_warc": """
