@@ -1 +1,3 @@
 """Registered queries."""
+
+from docket.plans import identifiers, pages  # noqa: F401
