@@ -227,7 +227,8 @@ def word_counts(texts: DataFrame, tokenizer_path: str) -> DataFrame:
                 if len(seen) > _MEMORY:
                     yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
                     seen.clear()
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     return texts.mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
