@@ -23,8 +23,8 @@ from docket.llm.common import map_column, spread
 
 #: Labelled rows that the dictionaries and the calibration are fitted on, at most (those with the smallest hash).
 TRAIN_ROWS = 8000
-WINDOW_WORDS = 4
-DICTIONARY_WORDS = 64
+WINDOW_WORDS = 3
+DICTIONARY_WORDS = 48
 LEVEL = 3
 _GAINS = 10
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -34,8 +34,8 @@ _PRIMER = b"~0123456789abcdefghijklmnopqrstuvwxyz~"
 
 
 def windows(text: str, words: int = WINDOW_WORDS) -> Iterator[bytes]:
-    """All words of a text, a few at a time."""
-    parts = text.lower().split()
+    """All words of a text in lower case, without what is no letter, a few at a time."""
+    parts = _LETTERS.findall(text.lower())
     for i in range(0, len(parts), words):
         yield f" {' '.join(parts[i : i + words])} ".encode() + _PRIMER
 
