@@ -1,3 +1,3 @@
 """Registered queries."""
 
-from docket.plans import identifiers, pages, registers, sources, stream  # noqa: F401
+from docket.plans import identifiers, pages, records, registers, sources, stream  # noqa: F401

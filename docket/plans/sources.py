@@ -146,17 +146,17 @@ def _ranked(name: str, score: str, order: str, limit: int) -> None:
 
 
 _hay = "lower(concat(p_name, ' ', p_brand))"
-_ranked("title_search_ranked_un", f"(CASE WHEN instr({_hay}, 'part 1') > 0 THEN 100 ELSE 0 END) + (CASE WHEN instr({_hay}, 'part') > 0 THEN 5 ELSE 0 END) + (CASE WHEN instr({_hay}, '1') > 0 THEN 5 ELSE 0 END) + (CASE WHEN left({_hay}, 6) = 'part 1' THEN 50 ELSE 0 END)", "score DESC, p_partkey", 10)
+_ranked("title_search_ranked_un", f"(CASE WHEN instr({_hay}, 'red ring') > 0 THEN 100 ELSE 0 END) + (CASE WHEN instr({_hay}, 'red') > 0 THEN 5 ELSE 0 END) + (CASE WHEN instr({_hay}, 'ring') > 0 THEN 5 ELSE 0 END) + (CASE WHEN left({_hay}, 8) = 'red ring' THEN 50 ELSE 0 END)", "score DESC, p_partkey", 10)
 _ranked("title_search_statute", "(CASE WHEN instr(lower(p_name), 'a') > 0 THEN 2 ELSE 0 END) + (CASE WHEN instr(lower(p_type), 's') > 0 THEN 3 ELSE 0 END)", "score DESC, p_partkey", 15)
 
 
 @query("title_search_coe", """
 WITH p AS (SELECT p_partkey, p_name, lower(concat(p_name, ' ', p_type)) AS hay FROM part),
-w AS (SELECT *, len(list_intersect(list_distinct(regexp_split_to_array('standard part one', '[^a-z0-9]+')), list_distinct(regexp_split_to_array(hay, '[^a-z0-9]+')))) AS shared FROM p)
-SELECT p_partkey, p_name, CAST(floor(100.0 * shared / 3 + CASE WHEN contains(hay, 'standard part one') THEN 50 ELSE 0 END) AS INT) AS score FROM w WHERE shared > 0 ORDER BY score DESC, p_partkey DESC LIMIT 10""")
+w AS (SELECT *, len(list_intersect(list_distinct(regexp_split_to_array('small red ring', '[^a-z0-9]+')), list_distinct(regexp_split_to_array(hay, '[^a-z0-9]+')))) AS shared FROM p)
+SELECT p_partkey, p_name, CAST(floor(100.0 * shared / 3 + CASE WHEN contains(hay, 'small red ring') THEN 50 ELSE 0 END) AS INT) AS score FROM w WHERE shared > 0 ORDER BY score DESC, p_partkey DESC LIMIT 10""")
 def title_search_coe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word overlap and containment; whole ranking tuple descending."""
-    asked = "standard part one"
+    asked = "small red ring"
     hay = F.lower(F.concat_ws(" ", "p_name", "p_type"))
     shared = F.size(F.array_intersect(F.array_distinct(F.split(F.lit(asked), "[^a-z0-9]+")), F.array_distinct(F.split(hay, "[^a-z0-9]+"))))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", hay.alias("hay"), shared.alias("shared")).where("shared > 0")
