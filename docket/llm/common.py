@@ -44,16 +44,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Delete the table that ``stored`` made, after its last use."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder; its files go when the result is no longer used."""
     shared_dir(df.sparkSession)
@@ -64,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, mb: int = 4) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Deal rows out evenly when the input comes in fewer splits than the session has cores."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
