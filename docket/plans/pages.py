@@ -72,6 +72,7 @@ def page_items_under_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_heading(e, "page_id", "pos", F.col("tag").startswith("h"), F.col("item"), "section").select("page_id", "section", "pos", "item")
 
 
+# The titles of an error page and of an empty shell page, and the least and most lengths.
 dual("page_quality_gate", r"""
 WITH t AS (SELECT page_id, length(html) AS n, lower(regexp_extract(html, r'(?is)<title>(.*?)</title>', 1)) AS title,
   trim(regexp_replace(regexp_replace(html, r'(?is)<(script|style)\b.*?</(script|style)>', ' ' /*g*/), r'<[^>]+>', ' ' /*g*/)) AS body FROM {pages})

@@ -155,8 +155,8 @@ WHERE checked NOT IN ('yes', 'no', 'source unavailable') OR (checked <> 'yes' AN
 dual("worklist_colours", f"""
 SELECT location, CASE WHEN checked = 'source unavailable' THEN 'grey' WHEN checked <> 'yes' THEN 'white' WHEN severity = 'high' THEN 'red' WHEN severity = 'medium' THEN 'orange' WHEN severity = 'low' THEN 'yellow' ELSE 'green' END AS colour FROM {values_sql(_SHEET, 'location, checked, quoted, discrepancy, kind, severity, note')} w""")
 dual("worklist_missing", r"SELECT doc_id FROM {documents} EXCEPT SELECT doc_id FROM {labels}")
-_ROUTES = [("case", 1, "zotero"), ("case", 2, "hudoc"), ("statute", 1, "lovdata"), ("treaty", 1, "zotero"), ("treaty", 2, "untc"), ("treaty", 3, "ets"), ("treaty", 4, "norges-traktater")]
-dual("tool_routing", f"SELECT category, tool FROM (SELECT category, tool, row_number() OVER (PARTITION BY category ORDER BY prio) AS rn FROM {values_sql(_ROUTES, 'category, prio, tool')} r WHERE tool <> 'zotero') x WHERE rn = 1")
+_ROUTES = [("case", 1, "own library"), ("case", 2, "court register"), ("statute", 1, "statute register"), ("treaty", 1, "own library"), ("treaty", 2, "world treaty register"), ("treaty", 3, "regional treaty register"), ("treaty", 4, "national treaty register")]
+dual("tool_routing", f"SELECT category, tool FROM (SELECT category, tool, row_number() OVER (PARTITION BY category ORDER BY prio) AS rn FROM {values_sql(_ROUTES, 'category, prio, tool')} r WHERE tool <> 'own library') x WHERE rn = 1")
 
 # --- bibliography -------------------------------------------------------------------------------------------------------
 
@@ -181,10 +181,10 @@ def basename_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values(spark, _BOOKS, "title, name, role, place, year, pages").select("title", F.coalesce(F.nullif(slug, F.lit("")), F.lit("Untitled")).alias("slug"), F.coalesce(F.nullif("year", F.lit("")), F.lit("n.d.")).alias("year"))
 
 
-dual("zotero_prepworks_sql", r"""
+dual("library_prepworks_sql", r"""
 SELECT ri.doc_id, ri.lang, ri.source, d.content FROM {documents} ri JOIN (SELECT doc_id, substr(text, 1, 400) AS content, 0 AS chunk_index, 'fulltext_chunk' AS kind FROM {documents}) d ON d.doc_id = ri.doc_id AND d.kind = 'fulltext_chunk'
 WHERE ri.lang IN ('en', 'fr') AND d.chunk_index = 0 AND ri.source LIKE 'src1%' AND d.content LIKE '%the%' ORDER BY ri.doc_id LIMIT 5""")
-dual("zotero_caselaw_sql", r"SELECT doc_id, substr(text, 1, 400) AS snippet FROM {documents} WHERE text LIKE '%re%th%on%' ORDER BY doc_id LIMIT 5")
+dual("library_caselaw_sql", r"SELECT doc_id, substr(text, 1, 400) AS snippet FROM {documents} WHERE text LIKE '%re%th%on%' ORDER BY doc_id LIMIT 5")
 dual("creator_roles", f"SELECT name, CASE role WHEN 'edt' THEN 'editor' WHEN 'trl' THEN 'translator' WHEN 'aut' THEN 'author' WHEN 'cre' THEN 'author' ELSE 'contributor' END AS creator_type FROM {values_sql(_BOOKS, 'title, name, role, place, year, pages')} b")
 _WIDTHS = [("a", 608, 502), ("a", 608, 251), ("b", 100, 502), ("b", 100, 251), ("c", 600, None)]
 dual("pick_width", f"SELECT page, target, coalesce(max(CASE WHEN width <= target THEN width END), min(width), target) AS width FROM {values_sql(_WIDTHS, 'page, target, width')} w GROUP BY page, target")
