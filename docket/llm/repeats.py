@@ -159,6 +159,14 @@ def _table(rows: list[tuple], **kinds: pa.DataType) -> pa.Table:
     return pa.table({n: pa.array(c, type=t) for (n, t), c in zip(kinds.items(), columns)})
 
 
+def _add(spans: list[tuple[int, int, int]], doc: int, start: int, end: int) -> None:
+    """Append a range, or lengthen the last one if it touches it."""
+    if spans and spans[-1][0] == doc and spans[-1][1] <= start <= spans[-1][2]:
+        spans[-1] = doc, spans[-1][1], max(end, spans[-1][2])
+    else:
+        spans.append((doc, start, end))
+
+
 def _packed(spans: list[tuple[int, int, int]]) -> bytes:
     return np.array(spans, dtype="<i8").tobytes()
 
@@ -174,7 +182,7 @@ def _first_of(group: list, out: dict[int, list]) -> None:
         where.sort()
         strings = len(s) - LENGTH + 1
         for doc, start, block in where[1:]:
-            out.setdefault(block, []).append((doc, start, start + len(s)))
+            _add(out.setdefault(block, []), doc, start, start + len(s))
         if len(group) == 1:
             return
         doc, start, block = where[0]
@@ -182,7 +190,7 @@ def _first_of(group: list, out: dict[int, list]) -> None:
         for i in range(strings):
             w = text[i : i + LENGTH]
             if w in seen:
-                out.setdefault(block, []).append((doc, start + i, start + i + LENGTH))
+                _add(out.setdefault(block, []), doc, start + i, start + i + LENGTH)
             else:
                 seen.add(w)
 
@@ -244,7 +252,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                         s = data[p : p + LENGTH]
                         known = runs.setdefault(zlib.crc32(s) % parts, {})
                         if (s, LENGTH) in known:
-                            again.append((doc, start + p, start + p + LENGTH))
+                            _add(again, doc, start + p, start + p + LENGTH)
                         else:
                             known[s, LENGTH] = doc, start + p
                     continue
@@ -252,7 +260,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 s = right_part + data[a:m][::-1]
                 known = runs.setdefault(to, {})
                 if (s, len(right_part)) in known:
-                    again.append((doc, start + a, start + z + LENGTH))
+                    _add(again, doc, start + a, start + z + LENGTH)
                 else:
                     known[s, len(right_part)] = doc, start + a
         out = [(p, number, 0, front_coded([(s, r, d, x) for (s, r), (d, x) in known.items()])) for p, known in runs.items()]
