@@ -160,7 +160,7 @@ def _table(rows: list[tuple], **kinds: pa.DataType) -> pa.Table:
 
 
 def _add(spans: list[tuple[int, int, int]], doc: int, start: int, end: int) -> None:
-    """Append a range, or lengthen the last one if it touches it."""
+    """Append a range, or lengthen the last one if it touches it. Rows with one id touch; ``cover`` cuts at their borders."""
     if spans and spans[-1][0] == doc and spans[-1][1] <= start <= spans[-1][2]:
         spans[-1] = doc, spans[-1][1], max(end, spans[-1][2])
     else:
@@ -302,8 +302,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for i, at, t, lo, hi in zip(block.ids, block.offsets, block.texts, low, high):
             joined: list[list[int]] = []
             for _, a, z in spans[lo:hi].tolist():
-                a, z = a - at, z - at
-                if a < 0 or a >= len(t):
+                # a joined range may run over the border of two rows with one id
+                a, z = max(a - at, 0), min(z - at, len(t))
+                if a >= z:
                     continue
                 if joined and a <= joined[-1][1]:
                     joined[-1][1] = max(joined[-1][1], z)

@@ -114,6 +114,15 @@ def test_repeats(spark, monkeypatch, hot):
     assert sorted(got, key=str) == sorted(brute_repeats(rows), key=str)
 
 
+@pytest.mark.parametrize("hot", [1000, 3])
+def test_repeats_across_row_borders(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    row, other = prose(60, 40), prose(61, 30)
+    rows = [(7, row)] * 3 + [(7, ""), (8, row), (8, row), (8, other), (None, other), (None, other), (None, other + row)]
+    got = [(r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256) for r in repeats.repeats(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(brute_repeats(rows), key=str)
+
+
 def test_repeats_of_nothing(spark):
     assert repeats.repeats(empty(spark)).count() == 0
 
