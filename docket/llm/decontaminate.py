@@ -1,8 +1,9 @@
 """Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
-A seed is a fixed mask over ten successive tokens; the tokens under its zeros are ignored, so a substitution there does
+A seed is a fixed mask over some successive tokens; the tokens under its zeros are ignored, so a substitution there does
 not hide a hit. Seeds of benchmark items and of documents are joined by hash. Each hit fixes an alignment; the tokens of
-the item and of the document are compared along it, and a leak is a run of tokens that agrees in at least 80 %.
+the item and of the document are compared along it, and a leak is a run of tokens that agrees in at least 80 %. The masks
+are such that every run that meets this has a seed. Items of fewer than ten tokens are matched whole and exactly.
 """
 
 from __future__ import annotations
@@ -12,12 +13,20 @@ from pyspark.sql import functions as F
 
 from docket.llm.common import checkpointed
 
-#: Ten positions, seven of them compared; all masks begin with two compared tokens.
-MASKS = ("1101101101", "1110010111", "1100111011")
-SPAN = 10
 #: Tokens of the run that is verified, and the share of them that must agree.
 RUN = 13
 AGREE = 0.8
+#: Items of fewer tokens must agree in all of them; items of fewer than ``LEAST`` tokens are not looked for.
+SPACED, LEAST = 10, 3
+#: For each number of tokens of an item (13: and more) masks of which one, at some place, misses any two positions. All
+#: begin with two compared tokens and end in one, so that a seed lies in the text where an end of the item is cut off.
+MASKS = {n: ("1" * n,) for n in range(LEAST, SPACED)} | {
+    10: ("1111011", "11001111", "110101011", "111111", "110100111"),
+    11: ("1111011", "110001111", "1101100011"),
+    12: ("11110111", "1100101111", "11011001011", "1111111", "110110110001"),
+    13: ("11110111", "11001001111", "11111101"),
+}
+_NUMBER = {mask: m for m, mask in enumerate(dict.fromkeys(x for masks in MASKS.values() for x in masks))}
 #: Up to this many distinct opening token pairs of the benchmark are tested before seeds are made; a larger benchmark
 #: makes seeds at every place. Results are the same.
 MAX_PAIRS = 50_000
@@ -33,15 +42,23 @@ def _pair(t: Column, i: Column) -> Column:
     return F.xxhash64(F.get(t, i), F.get(t, i + 1))
 
 
-def _places(t: Column) -> Column:
-    """First positions of all spans."""
+def _places(t: Column, least: int = LEAST) -> Column:
+    """First positions of all runs of ``least`` tokens."""
     n = F.size(t)
-    return F.when(n >= SPAN, F.sequence(F.lit(0), n - SPAN)).otherwise(F.array().cast("array<int>"))
+    return F.when(n >= least, F.sequence(F.lit(0), n - least)).otherwise(F.array().cast("array<int>"))
 
 
-def _seeds(t: Column, i: Column) -> Column:
-    """The hashes at one place, one for each mask, which enters the hash."""
-    return F.array(*(F.xxhash64(F.lit(m), *(F.get(t, i + k) for k in range(SPAN) if mask[k] == "1")) for m, mask in enumerate(MASKS)))
+def _seeds(t: Column, i: Column, masks: list[str]) -> Column:
+    """The hashes at one place, one for each mask, whose number enters the hash; null where the text ends before."""
+    return F.array(*(F.when(i + len(mask) <= F.size(t), F.xxhash64(F.lit(_NUMBER[mask]), *(F.get(t, i + k) for k in range(len(mask)) if mask[k] == "1"))) for mask in masks))
+
+
+def _own_seeds(t: Column, i: Column, kinds: list[int]) -> Column:
+    """The seeds of an item at one place, by the masks for its number of tokens."""
+    made = F.array().cast("array<bigint>")
+    for n in kinds:
+        made = F.when(F.least(F.size(t), F.lit(RUN)) == n, _seeds(t, i, list(MASKS[n]))).otherwise(made)
+    return made
 
 
 def _agreeing(own: Column, other: Column, start: Column) -> Column:
@@ -54,26 +71,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     ``start`` is the document's token at which the item's first token is aligned (negative if its start is cut off),
     ``matched`` the number of agreeing tokens along that alignment, ``agreement`` the best share over a run of 13 item
-    tokens (all tokens of an item that has fewer). Null and empty texts hold nothing; an item of fewer than ten tokens
-    has no seed and is never found; whole texts are searched, however long. Of equal alignments the one that starts
-    first is reported. Rows with one id are taken for one document and joined as such; a null id is not reported. Empty
+    tokens (all tokens of an item that has fewer). Every run that agrees in at least 80 % is found. An item of three to
+    nine tokens must agree in all of them, one of fewer is never found. Null and empty texts hold nothing; whole texts
+    are searched, however long. Of equal alignments the one that starts first is reported. Rows with one id are taken for one document and joined as such; a null id is not reported. Empty
     tables give no rows; other columns are not read.
     """
     items = benchmark.select(F.col(item_col).alias("item"), tokens(F.col(item_text_col)).alias("it"))
-    items = checkpointed(items.where((F.size("it") >= SPAN) & F.col("item").isNotNull()))
-    spots = items.select("item", F.explode(F.transform(_places(F.col("it")), lambda i: F.struct(i.alias("off"), _pair(F.col("it"), i).alias("pair"), _seeds(F.col("it"), i).alias("seeds")))).alias("s"))
+    items = checkpointed(items.where((F.size("it") >= LEAST) & F.col("item").isNotNull()))
+    kinds = sorted(r.n for r in items.select(F.least(F.size("it"), F.lit(RUN)).alias("n")).distinct().collect())  # 11 at most
+    masks = list(dict.fromkeys(x for n in kinds for x in MASKS[n]))
+    spots = items.select("item", F.explode(F.transform(_places(F.col("it")), lambda i: F.struct(i.alias("off"), _pair(F.col("it"), i).alias("pair"), _own_seeds(F.col("it"), i, kinds).alias("seeds")))).alias("s"))
     spots = checkpointed(spots.select("item", "s.*"))
     pairs = [r.pair for r in spots.select("pair").distinct().limit(MAX_PAIRS + 1).collect()]  # bounded by MAX_PAIRS
 
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null")
     read = rows.select("doc", tokens(F.col("text")).alias("t"))
     t = F.col("t")
-    places = _places(t)
+    places = _places(t, min(map(len, masks), default=LEAST))
     if len(pairs) <= MAX_PAIRS:
         places = F.filter(places, lambda i: _pair(t, i).isin(pairs))
-    found = read.select("doc", F.explode(F.transform(places, lambda i: F.struct(i.alias("pos"), _seeds(t, i).alias("seeds")))).alias("s"))
-    found = found.select("doc", "s.pos", F.explode("s.seeds").alias("seed"))
-    known = spots.select("item", "off", F.explode("seeds").alias("seed"))
+    found = read.select("doc", F.explode(F.transform(places, lambda i: F.struct(i.alias("pos"), (_seeds(t, i, masks) if masks else F.array().cast("array<bigint>")).alias("seeds")))).alias("s"))
+    found = found.select("doc", "s.pos", F.explode("s.seeds").alias("seed")).where("seed is not null")
+    known = spots.select("item", "off", F.explode("seeds").alias("seed")).where("seed is not null")
     hits = found.join(known, "seed").select("doc", "item", (F.col("pos") - F.col("off")).alias("start")).distinct()
     hits = checkpointed(hits)
 
@@ -82,8 +101,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     aligned = suspects.join(hits, "doc").join(items, "item").select("doc", "item", "start", _agreeing(F.col("it"), F.col("t"), F.col("start")).alias("m"))
     run = F.least(F.size("m"), F.lit(RUN))
     sums = F.transform(F.sequence(F.lit(1), F.size("m") - run + 1), lambda j: F.aggregate(F.slice("m", j, run), F.lit(0), lambda a, x: a + x))
-    scored = aligned.select("doc", "item", "start", F.aggregate("m", F.lit(0), lambda a, x: a + x).alias("matched"), (F.array_max(sums) / run).alias("agreement"))
-    best = scored.where(F.col("agreement") >= AGREE).groupBy("doc", "item").agg(F.max_by(F.struct("start", "matched", "agreement"), F.struct("agreement", "matched", -F.col("start"))).alias("b"))
+    needed = F.when(F.size("m") < SPACED, 1.0).otherwise(AGREE)
+    scored = aligned.select("doc", "item", "start", needed.alias("needed"), F.aggregate("m", F.lit(0), lambda a, x: a + x).alias("matched"), (F.array_max(sums) / run).alias("agreement"))
+    best = scored.where(F.col("agreement") >= F.col("needed")).groupBy("doc", "item").agg(F.max_by(F.struct("start", "matched", "agreement"), F.struct("agreement", "matched", -F.col("start"))).alias("b"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.start", "b.matched", "b.agreement")
 
 

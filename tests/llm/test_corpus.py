@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -159,6 +160,31 @@ def test_leaks(spark):
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", sorted(decontaminate.MASKS))
+def test_masks_reach_the_criterion(n):
+    wrong = 0 if n < decontaminate.SPACED else int(n * (1 - decontaminate.AGREE) + 1e-9)
+    assert all(m[:2] == "11" and m[-1] == "1" for m in decontaminate.MASKS[n])
+    spots = [{at + k for k, c in enumerate(m) if c == "1"} for m in decontaminate.MASKS[n] for at in range(n - len(m) + 1)]
+    assert all(any(not set(bad) & s for s in spots) for bad in combinations(range(n), wrong))
+
+
+def test_leaks_with_substitutions(spark):
+    own = {n: [f"w{n}x{k}" for k in range(n)] for n in (3, 5, 9, 10, 11, 12, 13, 15)}
+    items = spark.createDataFrame([(n, " ".join(w)) for n, w in own.items()], "item_id long, text string")
+    texts, want, about = [], set(), prose(9, 6)
+    for n, w in own.items():
+        for bad in [(), (0,), (1,), *combinations(range(n), 2), (0, 5, n - 1), (2, 4, 6)]:
+            changed = " ".join("changed" if k in bad else x for k, x in enumerate(w))
+            agrees = [sum(k not in bad for k in range(at, at + min(n, 13))) for at in range(max(1, n - 12))]
+            if max(agrees) >= (0.8 * min(n, 13) if n > 9 else n):
+                want |= {(len(texts), n), (len(texts) + 1, n)}
+            texts += [f"{about} {changed} {about}", changed]
+    texts.append(" ".join(own[13][2:]))  # two tokens are cut off
+    want.add((len(texts) - 1, 13))
+    found = decontaminate.leaks(frame(spark, list(enumerate(texts))), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+
+
 def test_leaks_without_opening_test(spark, monkeypatch):
     items = spark.createDataFrame([(1, prose(1, 40))], "item_id long, text string")
     docs = frame(spark, [(1, prose(1, 40)), (2, prose(5, 90))])
