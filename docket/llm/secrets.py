@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and novelty measured with a primed zstandard compressor.
 
-A candidate of the second kind is a long run of key-like characters after a sensitive word. It is compressed together
-with the code around it, primed with a dictionary of common identifiers; its marginal cost is what it adds to the
+A candidate of the second kind is a run of key-like characters near a sensitive word, before or after it; a run on the
+line after a candidate's is one too, so that a wrapped secret is followed to its end. It is compressed together with the
+code around it, primed with a dictionary of common identifiers; its marginal cost is what it adds to the
 compressed length of its surroundings alone. Names that the surroundings or the dictionary know cost little; a random
 string costs about its own length and is reported.
 """
@@ -9,6 +10,7 @@ string costs about its own length and is reported.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 import zstandard
@@ -25,8 +27,10 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "novel")
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What may stand between a run and its continuation on the next line, and the last, shorter line of a wrapped run.
+_WRAP = re.compile(r"[^A-Za-z0-9\n]{0,16}\n[^A-Za-z0-9\n]{0,64}")
+_TAIL = re.compile(r"(\r?\n[\x20\t]*)([A-Za-z0-9+/_=-]{1,11})(?=[\x20\t]*(?:\r?\n|$))")
 _SENSITIVE = re.compile(r"key|secret|token|passw|pwd|auth|credential|bearer|private|signature|session", re.IGNORECASE)
-_CONTEXT = 48
 _AROUND = 512
 #: Least marginal compressed bytes for each byte of the candidate.
 NOVELTY = 0.7
@@ -40,6 +44,9 @@ _IDENTIFIERS = " ".join(
     "string struct system table template test this time timestamp token true type undefined update url user username utf-8 value variable version void write "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789"
 ).encode()
+#: Ends every text that is measured: there is a match then without the candidate too, and it does not pay for the header
+#: of the match section.
+_KNOWN = b" abcdefghijklmnopqrstuvwxyz"
 
 
 @lru_cache(maxsize=1)
@@ -51,10 +58,10 @@ def _primed() -> zstandard.ZstdCompressor:
 
 def marginal(text: str, start: int, end: int) -> float:
     """Compressed bytes that text[start:end] adds to its surroundings, for each byte of it."""
-    before, after = text[max(0, start - _AROUND) : start], text[end : end + _AROUND]
+    before, after = text[max(0, start - _AROUND) : start].encode(), text[end : end + _AROUND].encode() + _KNOWN
     size = _primed().compress
     own = text[start:end].encode()
-    return (len(size(before.encode() + own + after.encode())) - len(size((before + after).encode()))) / len(own)
+    return (len(size(before + own + after)) - len(size(before + after))) / len(own)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -70,17 +77,41 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, b, k in found]
 
 
+def _uncovered(a: int, b: int, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of a run that no base span covers, but for a name that an assignment ends."""
+    parts, at = [], a
+    for x, y, kind in base:
+        if x < b and at < y:
+            if at < x and kind != "assign":
+                parts.append((at, x))
+            at = max(at, y)
+    return parts + [(at, b)] * (at < b)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Incompressible candidates in sensitive context that no base span touches."""
+    """Incompressible candidates in sensitive context that base spans do not cover whole."""
     out = []
-    for m in _CANDIDATE.finditer(text):
-        a, b = m.span()
-        run = m[0]
-        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
-            continue
-        if not _SENSITIVE.search(text, max(0, a - _CONTEXT), a) or any(x < b and a < y for x, y, _ in base):
+    runs = [m.span() for m in _CANDIDATE.finditer(text) if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])]
+    if not runs:
+        return out
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    if not words:
+        return out
+    starts, ends = [x for x, _ in words], [y for _, y in words]
+    last, known = 0, False  # where the last run ends, and whether it is in sensitive context
+    for a, b in runs:
+        # a word that ends in the stretch before the run, or begins in the one after it
+        near = bisect_left(starts, a - _AROUND) < bisect_right(ends, a) or bisect_left(starts, b) < bisect_right(ends, b + _AROUND)
+        known = near or (known and _WRAP.fullmatch(text, last, a) is not None)
+        last = b
+        if not known or any(x < b and a < y for x, y, _ in base):
             continue
-        if marginal(text, a, b) >= NOVELTY:
+        follows = out and _WRAP.fullmatch(text, out[-1][1], a)
+        parts = _uncovered(a, b, base)
+        # a line that goes on from a reported one is also measured together with it
+        if any(marginal(text, x, y) >= NOVELTY for x, y in parts) or (parts and follows and marginal(text, out[-1][0], b) >= NOVELTY):
+            if follows and (tail := _TAIL.match(text, b)):
+                b = tail.end(2)
             out.append((a, b, "novel"))
     return out
 
