@@ -26,7 +26,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 #: What may stand between a run and its continuation on the next line, and the last, shorter line of a wrapped run.
 _WRAP = re.compile(r"[^A-Za-z0-9\n]{0,16}\n[^A-Za-z0-9\n]{0,64}")
 _TAIL = re.compile(r"(\r?\n[\x20\t]*)([A-Za-z0-9+/_=-]{1,11})(?=[\x20\t]*(?:\r?\n|$))")
@@ -34,7 +34,7 @@ _SENSITIVE = re.compile(r"key|secret|token|passw|pwd|auth|credential|bearer|priv
 _AROUND = 512
 #: Least marginal compressed bytes for each byte of the candidate.
 NOVELTY = 0.7
-_IDENTIFIERS = " ".join(
+_IDENTIFIERS = (
     "access account address admin algorithm api application authorization base64 bearer boolean buffer cache certificate class client code config "
     "connection const content context cookie create credential database date default delete description digest document email encode encoding endpoint "
     "environment error example export false file format function generate get hash header host http https id identifier import index input instance "
@@ -91,7 +91,7 @@ def _uncovered(a: int, b: int, base: list[tuple[int, int, str]]) -> list[tuple[i
 def novel_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Incompressible candidates in sensitive context that base spans do not cover whole."""
     out = []
-    runs = [m.span() for m in _CANDIDATE.finditer(text) if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])]
+    runs = [m.span() for m in _CANDIDATE.finditer(text)]
     if not runs:
         return out
     words = [m.span() for m in _SENSITIVE.finditer(text)]
@@ -104,7 +104,7 @@ def novel_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
         near = bisect_left(starts, a - _AROUND) < bisect_right(ends, a) or bisect_left(starts, b) < bisect_right(ends, b + _AROUND)
         known = near or (known and _WRAP.fullmatch(text, last, a) is not None)
         last = b
-        if not known or any(x < b and a < y for x, y, _ in base):
+        if not known:
             continue
         follows = out and _WRAP.fullmatch(text, out[-1][1], a)
         parts = _uncovered(a, b, base)
