@@ -1,18 +1,21 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on what marks toxic text and one on what marks ordinary text: word openings
-and words with the highest log-odds of the one against the other. A text is cut into windows of a few words; each
-window is compressed with either dictionary, and the difference of the two lengths tells which it is closer to. The
-distribution of the differences is calibrated on labelled rows to a score, with dictionaries trained on the other half
-of the rows so that a dictionary never meets the text it was trained on.
+Two zstandard dictionaries are built from windows of the training texts: one of toxic and one of ordinary text, after a
+part of ordinary text that both share, so that what both explain costs the same. The toxic windows are those around the
+marks with the highest log-odds, one for each. A text is cut into windows of a few words; each window is compressed with
+either dictionary, and the difference of the two lengths tells which it is closer to. The distribution of the differences
+is calibrated on labelled rows to a score, with dictionaries built from the other half of the rows so that a dictionary
+never meets the text it was built from.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import zstandard
@@ -23,29 +26,34 @@ from docket.llm.common import map_column, spread
 
 #: Labelled rows that the dictionaries and the calibration are fitted on, at most (those with the smallest hash).
 TRAIN_ROWS = 8000
-WINDOW_WORDS = 3
-DICTIONARY_WORDS = 48
+WINDOW_WORDS = 2
+#: Marks of which a window is taken, and bytes of ordinary text that both dictionaries hold (its windows have three words).
+DICTIONARY_MARKS = 64
+SHARED_BYTES, SHARED_WORDS = 32 << 10, 3
+#: A shared window has a word that at least so many windows hold and that fewer than two shared ones have.
+FREQUENT = 30
 LEVEL = 3
 _GAINS = 10
+_FEATURES = 3 * _GAINS + 3
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Both dictionaries end in this string and it is added to each window. A window then always holds a match, so that
 #: one more match shows at its full worth instead of first having to pay for the header of the match section.
 _PRIMER = b"~0123456789abcdefghijklmnopqrstuvwxyz~"
 
 
-def windows(text: str, words: int = WINDOW_WORDS) -> Iterator[bytes]:
+def windows(text: str, words: int = WINDOW_WORDS) -> Iterator[str]:
     """All words of a text in lower case, without what is no letter, a few at a time."""
     parts = _LETTERS.findall(text.lower())
     for i in range(0, len(parts), words):
-        yield f" {' '.join(parts[i : i + words])} ".encode() + _PRIMER
+        yield f" {' '.join(parts[i : i + words])} "
 
 
 def _marks(text: str) -> set[str]:
-    """Openings of 4 to 12 letters of the words of a text, and its words."""
+    """Openings of 4 to 12 letters of the words of a text, and its words of 2 to 12."""
     out = set()
     for w in set(_LETTERS.findall(text.lower())):
         out.update(" " + w[:k] for k in range(4, min(len(w), 12) + 1))
-        if 4 <= len(w) <= 12:
+        if 2 <= len(w) <= 12:
             out.add(f" {w} ")
     return out
 
@@ -77,7 +85,7 @@ class Model:
     scale: np.ndarray
 
     def features(self, text: str) -> np.ndarray:
-        return _features(text, _compressor(self.toxic), _compressor(self.ordinary))
+        return _features(text, _gain(self.toxic, self.ordinary))
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         z = (features - self.mean) / self.scale
@@ -90,23 +98,67 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def _features(text: str, toxic: zstandard.ZstdCompressor, ordinary: zstandard.ZstdCompressor) -> np.ndarray:
-    """How many windows the toxic dictionary shortens by 1, 2, ... bytes and more, their number, the largest gain."""
-    gains = Counter(len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows(text))
+def _gain(toxic: bytes, ordinary: bytes) -> Callable[[str], int]:
+    """By how many bytes the toxic dictionary makes a window shorter; a bounded number of windows is remembered."""
+    bad, good = _compressor(toxic).compress, _compressor(ordinary).compress
+
+    @lru_cache(maxsize=1 << 16)
+    def gain(window: str) -> int:
+        w = window.encode() + _PRIMER
+        return len(good(w)) - len(bad(w))
+
+    return gain
+
+
+def _features(text: str, gain: Callable[[str], int]) -> np.ndarray:
+    """How many windows the toxic dictionary shortens by 1, 2, ... bytes and more, their shares, their number, the
+    largest gain, the mean gain."""
+    gains = Counter(map(gain, windows(text)))
     n = sum(gains.values())
     tail = np.array([sum(c for g, c in gains.items() if g >= k) for k in range(1, _GAINS + 1)], dtype=float)
-    return np.concatenate([np.minimum(tail, 3), np.log1p(tail), [np.log1p(n), max(gains, default=0)]])
+    mean = sum(g * c for g, c in gains.items()) / max(n, 1)
+    return np.concatenate([np.minimum(tail, 3), np.log1p(tail), tail / max(n, 1), [np.log1p(n), max(gains, default=0), mean]])
+
+
+def _shuffled(texts: list[str], words: int) -> list[str]:
+    found = [w for t in texts for w in windows(t, words)]
+    random.Random(1).shuffle(found)
+    return found
 
 
 def _dictionaries(texts: list[str], toxic: np.ndarray) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary, all windows of running text."""
     counts = {0: Counter(), 1: Counter()}
     for t, y in zip(texts, toxic):
         counts[int(y)].update(_marks(t))
     n1 = int(toxic.sum())
-    n0 = len(texts) - n1
-    sides = _distinctive(counts[1], counts[0], n1, n0, DICTIONARY_WORDS), _distinctive(counts[0], counts[1], n0, n1, DICTIONARY_WORDS)
-    bad, good = (re.sub("  +", " ", " ".join(s[::-1])).encode() + b" " + _PRIMER for s in sides)
-    return bad, good
+    marks = _distinctive(counts[1], counts[0], n1, len(texts) - n1, DICTIONARY_MARKS)
+    ordinary = _shuffled([t for t, y in zip(texts, toxic) if not y], SHARED_WORDS)
+    often = Counter(x for w in ordinary for x in set(w.split()))
+
+    # of the toxic windows with a mark, the one whose other words are the most ordinary
+    best: dict[str, tuple[int, str]] = {}
+    for w in _shuffled([t for t, y in zip(texts, toxic) if y], WINDOW_WORDS):
+        for m in marks:
+            if m in w:
+                other = min((often[x] for x in w.split() if m.strip() not in x), default=0)
+                if m not in best or other > best[m][0]:
+                    best[m] = other, w.strip()
+    bad = [best[m][1] for m in marks if m in best]
+
+    shared, size, seen = [], 0, Counter()
+    for w in ordinary:
+        if size < SHARED_BYTES and any(seen[x] < 2 and often[x] >= FREQUENT for x in w.split()):
+            seen.update(w.split())
+            shared.append(w.strip())
+            size += len(w.encode())
+    good, size = [], sum(len(w.encode()) + 1 for w in bad)
+    for w in reversed(ordinary):
+        if size > 0:
+            good.append(w.strip())
+            size -= len(w.encode())
+    made = [" ".join([*shared, *side[::-1], ""]).encode() + _PRIMER for side in (bad, good)]
+    return made[0], made[1]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -130,11 +182,11 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     found, target = [], []
     for side in (0, 1):
         own = np.flatnonzero(folds == side)
-        bad, good = (_compressor(d) for d in _dictionaries([texts[i] for i in own], y[own]))
+        gain = _gain(*_dictionaries([texts[i] for i in own], y[own]))
         rest = np.flatnonzero(folds != side)
-        found += [_features(texts[i], bad, good) for i in rest]
+        found += [_features(texts[i], gain) for i in rest]
         target += y[rest].tolist()
-    x = np.array(found).reshape(len(found), 2 * _GAINS + 2)
+    x = np.array(found).reshape(len(found), _FEATURES)
     mean, scale = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
     if 0 < y.sum() < len(y):
         weights = _logistic((x - mean) / scale, np.array(target))
@@ -167,10 +219,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """
 
     def start():
-        bad, good = _compressor(model.toxic), _compressor(model.ordinary)
+        gain = _gain(model.toxic, model.ordinary)
 
         def scored(texts):
-            s = model.scores(np.array([_features(t or "", bad, good) for t in texts]).reshape(len(texts), 2 * _GAINS + 2))
+            s = model.scores(np.array([_features(t or "", gain) for t in texts]).reshape(len(texts), _FEATURES))
             return s, (s >= 0.5).astype("int32")
 
         return scored

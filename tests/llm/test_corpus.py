@@ -338,6 +338,17 @@ def test_warc(spark, tmp_path):
 # --- toxicity
 
 
+def test_dictionaries_hold_running_text():
+    insult = ["stupid", "moron", "oaf"]
+    texts = [prose(i, 60) + (f" you {insult[i % 3]} there" if i % 4 == 0 else "") for i in range(400)]
+    bad, good = toxicity._dictionaries(texts, np.array([float(i % 4 == 0) for i in range(400)]))
+    words = [set(re.findall(r"[^\W\d_]+", " ".join(t.lower() for i, t in enumerate(texts) if (i % 4 == 0) == side))) for side in (True, False)]
+    bad, good = (d.decode().removesuffix(toxicity._PRIMER.decode()).split() for d in (bad, good))
+    assert set(insult) <= set(bad) and not set(insult) & set(good)
+    assert set(bad) <= words[0] | words[1] and set(good) <= words[1] and len(good) > 10
+    assert any(bad[k - 1] in words[1] or bad[k - 1] == "you" for k, w in enumerate(bad) if w in insult and k)
+
+
 def test_toxicity(spark):
     insult = ["stupid", "moron", "rubbish"]
     rows = [(i, prose(i, 60) + (" " + insult[i % 3] + " " + insult[(i + 1) % 3] if i % 4 == 0 else "")) for i in range(400)]
