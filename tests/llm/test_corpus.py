@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from docket.llm import bpe, chat, decontaminate, quality, repeats, rules, secrets, simhash, suffixes, toxicity, warc
@@ -341,7 +342,9 @@ def test_warc(spark, tmp_path):
 def test_dictionaries_hold_running_text():
     insult = ["stupid", "moron", "oaf"]
     texts = [prose(i, 60) + (f" you {insult[i % 3]} there" if i % 4 == 0 else "") for i in range(400)]
-    bad, good = toxicity._dictionaries(texts, np.array([float(i % 4 == 0) for i in range(400)]))
+    model = toxicity.fit(texts, [int(i % 4 == 0) for i in range(400)])
+    bad, good = model.toxic, model.ordinary
+    assert abs(len(bad) - len(good)) < 40
     words = [set(re.findall(r"[^\W\d_]+", " ".join(t.lower() for i, t in enumerate(texts) if (i % 4 == 0) == side))) for side in (True, False)]
     bad, good = (d.decode().removesuffix(toxicity._PRIMER.decode()).split() for d in (bad, good))
     assert set(insult) <= set(bad) and not set(insult) & set(good)
@@ -349,6 +352,50 @@ def test_dictionaries_hold_running_text():
     assert any(bad[k - 1] in words[1] or bad[k - 1] == "you" for k, w in enumerate(bad) if w in insult and k)
 
 
+def test_copies_make_no_marks():
+    long = [prose(900 + i, 60).split() for i in range(3)]
+    copies = [" ".join(w if k % 29 else f"edit{c}" for k, w in enumerate(long[c % 3])) + " zanzibarian" for c in range(60)]
+    texts = [prose(i, 60) + (" you stupid there" if i % 4 == 0 else "") for i in range(400)] + copies + ["", "", "alpha"]
+    toxic = np.array([int("stupid" in t or "zanzibarian" in t) for t in texts])
+    words = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in toxicity.windows(t)))}
+    coded = [np.array([words[w] for w in toxicity.windows(t)], dtype=np.int32) for t in texts]
+    group = toxicity._copies(coded)
+    assert len(set(group[:400])) >= 380 and len(set(group[400:460])) <= 6 and group[460] == group[461]
+    supports = toxicity._supports(coded, toxic, group, len(words))
+    for fold in range(toxicity.FOLDS + 1):
+        for side in (0, 1):
+            n, seen = Counter(), set()
+            for i, t in enumerate(texts):
+                if group[i] % toxicity.FOLDS != fold and toxic[i] == side and group[i] not in seen:
+                    seen.add(group[i])
+                    n.update({w: min(3, k) for w, k in Counter(toxicity.windows(t)).items()})
+            assert supports[fold][side].tolist() == [n[w] for w in words]
+    assert b"zanzibarian" not in toxicity.fit(texts, toxic.tolist()).toxic
+
+
+def test_window_scores(spark):
+    """The scores of the operator against windows compressed one by one."""
+    seen = {}
+    texts = [prose(i, 60) + (" you stupid there moron" if i % 4 == 0 else "") for i in range(300)]
+    model = toxicity.fit(texts, [int(i % 4 == 0) for i in range(300)])
+    rows = [(i, t) for i, t in enumerate(texts[:40])] + [(90, None), (91, ""), (92, "STUPID\nMoron! " * 400 + prose(3, 30000))]
+    got = {r.doc_id: r.score for r in toxicity.score(frame(spark, rows), model).collect()}
+    made = [zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for d in (model.ordinary, model.toxic)]
+    plain = [zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=d, write_content_size=False, write_dict_id=False) for d in made]
+    for i, t in rows:
+        odds = []
+        for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+            if w not in seen:
+                ordinary, toxic = (len(c.compress(f" {w} ".encode() + toxicity._PRIMER)) for c in plain)
+                gain = max(-2, min(12, ordinary - toxic))
+                seen[w] = model.table[min(len(w.encode()), 16) * 15 + gain + 2]
+            odds.append(seen[w])
+        odds = [x for x in odds if x > toxicity.CUTOFF]
+        z = model.weights[0] + (model.weights[1] * max(odds) + model.weights[2] * np.log1p(sum(odds)) if odds else 0)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+    assert got[0] > 0.5 > got[1] and got[92] > 0.5 and got[90] == got[91]
+
+
 def test_toxicity(spark):
     insult = ["stupid", "moron", "rubbish"]
     rows = [(i, prose(i, 60) + (" " + insult[i % 3] + " " + insult[(i + 1) % 3] if i % 4 == 0 else "")) for i in range(400)]
