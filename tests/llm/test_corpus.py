@@ -434,7 +434,7 @@ def brute_components(fps):
 
     for a in ids:
         for b in ids:
-            if a < b and (fps[a] ^ fps[b]).bit_count() <= 4:
+            if a < b and ((fps[a] ^ fps[b]) & (1 << 64) - 1).bit_count() <= 4:
                 x, y = sorted((root(a), root(b)))
                 of[y] = x
     return {i: root(i) for i in ids}
@@ -462,10 +462,48 @@ def test_links_of_dense_groups(spark):
             for _ in range(rnd.randrange(7)):
                 x ^= 1 << rnd.randrange(64)
             fps[x] = len(fps)
-    fps = {i: x for x, i in fps.items()}
-    nodes = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x) for i, x in fps.items()], "id long, fp long")
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    nodes = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
     found = {r.id: r.component for r in simhash.linked(nodes).collect()}
-    assert {i: found.get(i, i) for i in fps} == brute_components(fps)
+    assert {signed(x): found.get(signed(x), signed(x)) for x in fps} == brute_components({signed(x): signed(x) for x in fps})
+
+
+@pytest.mark.parametrize("shifted, cut", [(64, 1 << 13), (1, 1 << 13), (1, 1), (5, 20)])
+def test_links_of_buckets(monkeypatch, shifted, cut):
+    """Buckets of all sizes, compared by each of the three ways, keep their components."""
+    monkeypatch.setattr(simhash, "SHIFTED", shifted)
+    monkeypatch.setattr(simhash, "CUT", cut)
+    rnd, keys, fps = random.Random(5), [], []
+    for key in range(30):
+        centre, n = rnd.getrandbits(64), 1 + key * 3
+        for x in {centre ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(6))) for _ in range(n)}:
+            keys.append(key)
+            fps.append(x)
+    edges = list(simhash._links(np.array(keys, dtype=np.int32), np.array(fps, dtype=np.uint64), 4))
+    for key in range(30):
+        own = [x for k, x in zip(keys, fps) if k == key]
+        of = {x: x for x in own}
+
+        def root(x):
+            while of[x] != x:
+                x = of[x]
+            return x
+
+        for u, v in edges:
+            if u in of and v in of:
+                assert (u ^ v).bit_count() <= 4
+                x, y = sorted((root(u), root(v)))
+                of[y] = x
+        assert {x: root(x) for x in own} == brute_components({x: x for x in own})
+
+
+def test_one_huge_bucket(spark):
+    """Three fifths of the fingerprints agree in one segment, some in chains; components are those of brute force."""
+    rnd = random.Random(8)
+    low = rnd.getrandbits(22)
+    fps = {low | rnd.getrandbits(8) << 22 | rnd.getrandbits(6) << 50 for _ in range(600)} | {rnd.getrandbits(63) for _ in range(400)}
+    found = {r.id: r.component for r in simhash.linked(spark.createDataFrame([(x,) for x in fps], "fp long")).collect()}
+    assert {x: found.get(x, x) for x in fps} == brute_components({x: x for x in fps})
 
 
 def test_components(spark):
