@@ -58,7 +58,14 @@ class Formatted:
     def visit_turn(self, role: str, parts: list[tuple[str, str, int | None]]) -> None:
         self._put(f"{START}{_role(role)}\n")
         begin = self.size
+        # neighbouring texts are escaped as one, or a control string cut over two of them would pass
+        joined: list[tuple[str, str, int | None]] = []
         for kind, value, tokens in parts:
+            if kind == "text" and joined and joined[-1][0] == "text":
+                joined[-1] = kind, joined[-1][1] + value, None
+            else:
+                joined.append((kind, value, tokens))
+        for kind, value, tokens in joined:
             getattr(self, f"visit_{kind}", self.visit_unknown)(kind, value, tokens)
         if role == LOSS_ROLE:
             self.loss.append((begin, self.size))
@@ -102,7 +109,8 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
     Turns come in order of the turn number, equal or null ones (null first) by role and text. ``parts_col`` may hold an
     array of typed parts; without it, or where it is null, the text is the only part. Null texts, roles and part values
-    are empty. Rows are range-sorted and streamed, so no conversation is gathered in a frame; rows without a
+    are empty; neighbouring text parts become one; a part of unknown type is an error. Rows are dealt by conversation,
+    sorted and streamed, so no conversation is gathered in a frame, but one is written by one task; rows without a
     conversation id form one conversation with a null id. Repeated rows are turns of their own; an empty table gives no
     rows; other columns are not read.
     """

@@ -27,9 +27,9 @@ MASKS = {n: ("1" * n,) for n in range(LEAST, SPACED)} | {
     13: ("11110111", "11001001111", "11111101"),
 }
 _NUMBER = {mask: m for m, mask in enumerate(dict.fromkeys(x for masks in MASKS.values() for x in masks))}
-#: Up to this many distinct opening token pairs of the benchmark are tested before seeds are made; a larger benchmark
-#: makes seeds at every place. Results are the same.
-MAX_PAIRS = 50_000
+#: Bits of the table of opening token pairs: a place whose pair is not marked makes no seeds. Its size is fixed; a larger
+#: benchmark only marks more of it, and a place that is marked by chance makes seeds that meet nothing.
+PAIR_BITS = 19
 
 
 def tokens(text: Column) -> Column:
@@ -42,6 +42,21 @@ def _pair(t: Column, i: Column) -> Column:
     return F.xxhash64(F.get(t, i), F.get(t, i + 1))
 
 
+def _marked_pairs(spots: DataFrame) -> Column:
+    """An array literal of ``2 ** PAIR_BITS`` bits, 32 to a long, set where the hash of a pair falls."""
+    place = F.pmod(F.col("pair"), F.lit(1 << PAIR_BITS))
+    words = spots.select(place.alias("p")).distinct().groupBy(F.floor(F.col("p") / 32).cast("int").alias("w")).agg(F.sum(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(32)).cast("int"))).alias("bits"))
+    table = [0] * (1 << (PAIR_BITS - 5))
+    for r in words.collect():  # at most 2 ** (PAIR_BITS - 5) rows
+        table[r["w"]] = r["bits"]
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+
+
+def _is_marked(marked: Column, pair: Column) -> Column:
+    place = F.pmod(pair, F.lit(1 << PAIR_BITS))
+    return F.call_function("shiftright", F.get(marked, F.floor(place / 32).cast("int")), F.pmod(place, F.lit(32)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def _places(t: Column, least: int = LEAST) -> Column:
     """First positions of all runs of ``least`` tokens."""
     n = F.size(t)
@@ -82,14 +97,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     masks = list(dict.fromkeys(x for n in kinds for x in MASKS[n]))
     spots = items.select("item", F.explode(F.transform(_places(F.col("it")), lambda i: F.struct(i.alias("off"), _pair(F.col("it"), i).alias("pair"), _own_seeds(F.col("it"), i, kinds).alias("seeds")))).alias("s"))
     spots = checkpointed(spots.select("item", "s.*"))
-    pairs = [r.pair for r in spots.select("pair").distinct().limit(MAX_PAIRS + 1).collect()]  # bounded by MAX_PAIRS
+    marked = _marked_pairs(spots)
 
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null")
     read = rows.select("doc", tokens(F.col("text")).alias("t"))
     t = F.col("t")
     places = _places(t, min(map(len, masks), default=LEAST))
-    if len(pairs) <= MAX_PAIRS:
-        places = F.filter(places, lambda i: _pair(t, i).isin(pairs))
+    places = F.filter(places, lambda i: _is_marked(marked, _pair(t, i)))
     found = read.select("doc", F.explode(F.transform(places, lambda i: F.struct(i.alias("pos"), (_seeds(t, i, masks) if masks else F.array().cast("array<bigint>")).alias("seeds")))).alias("s"))
     found = found.select("doc", "s.pos", F.explode("s.seeds").alias("seed")).where("seed is not null")
     known = spots.select("item", "off", F.explode("seeds").alias("seed")).where("seed is not null")
