@@ -1,7 +1,7 @@
 """Deterministic sharded WARC archives.
 
-Records are range-sorted by id into shards whose borders follow from the bytes in a fixed histogram of the ids, so the
-same rows give the same files on any cluster. A shard is written in order; a file is closed when its compressed size
+Records are range-sorted by id into shards whose borders follow from a histogram of the bytes by id that is refined where
+it is heavy, so the same rows give the same files on any cluster, however the ids are spread. A shard is written in order; a file is closed when its compressed size
 reaches a limit. Headers and digests are made anew. Each file is written under a temporary name and renamed when
 complete; a manifest of names, sizes and digests is written last, and readers read only what the manifest lists.
 """
@@ -13,6 +13,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +23,17 @@ from pyspark.sql import functions as F
 from docket.llm.common import checkpointed
 
 ROLL_BYTES = 16 << 20
-#: A shard holds at most about so many payload bytes, and there are at least so many shards if the rows allow it.
+#: A shard holds at most about so many payload bytes, and there are at least so many shards if the rows allow it. Over
+#: MAX_SHARDS times that size shards grow with the input; a shard is written as a stream, so its size bounds no memory.
 SHARD_BYTES = 64 << 20
 MIN_SHARDS = 128
+MAX_SHARDS = 16384
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 1000
-_BINS = 4096
+#: Bins of the first histogram, and of each heavy bin after that.
+_BINS, _SPLIT = 4096, 32
+#: A task reads back about so many compressed bytes.
+READ_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MANIFEST = "file string, shard int, records long, bytes long, sha256 string"
@@ -90,30 +97,53 @@ class _Files:
         return name, self.shard, self.count, self.size, self.sha.hexdigest()
 
 
-def _shards(sized: DataFrame, shard_bytes: int) -> tuple[int, int, list[int]]:
-    """(least id, ids in a bin, shard of each bin): bins are filled into shards in order of the ids."""
-    low, high, total = sized.agg(F.min("id"), F.max("id"), F.sum("size")).first()
+def _starts(parents: list[int], old: int, width: int):
+    """First id of the bin of ``width`` ids within the bins of ``old`` ids that start at ``parents``; null outside."""
+
+    @F.pandas_udf("long")
+    def start(ids: pd.Series) -> pd.Series:
+        heads, at = np.array(parents, dtype=np.int64), ids.to_numpy(dtype=np.int64)
+        head = heads[np.maximum(np.searchsorted(heads, at, side="right") - 1, 0)]
+        off = at.view(np.uint64) - head.view(np.uint64)  # ids may span all longs, so differences wrap
+        first = (head.view(np.uint64) + off // np.uint64(width) * np.uint64(width)).view(np.int64)
+        return pd.Series(pd.arrays.IntegerArray(first, (at < head) | (off > np.uint64(old - 1))))
+
+    return start
+
+
+def _borders(sized: DataFrame, shard_bytes: int) -> tuple[int, list[int]]:
+    """(number of shards for rows without an id, first id of each shard but the first). At most ``_SPLIT`` bins a shard
+    come to the driver at a time."""
+    low, high, total, loose = sized.agg(F.min("id"), F.max("id"), F.sum("size"), F.sum(F.when(F.col("id").isNull(), F.col("size")))).first()
+    total = total or 0
+    limit = max(1, min(shard_bytes, total // MIN_SHARDS), total // MAX_SHARDS)
+    none = -(-(loose or 0) // limit) or 1
     if low is None:
-        return 0, 1, [0]
-    width = (high - low) // _BINS + 1
-    limit = max(1, min(shard_bytes, total // MIN_SHARDS))
-    place = F.floor((F.col("id") - low) / width).cast("int").alias("bin")
-    bins = {r["bin"]: r["b"] for r in sized.where("id is not null").groupBy(place).agg(F.sum("size").alias("b")).collect()}  # at most _BINS rows
-    shard, filled, of = 0, 0, []
-    for i in range(_BINS):
-        of.append(shard)
-        filled += bins.get(i, 0)
-        if filled >= limit:
-            shard, filled = shard + 1, 0
-    return low, width, of
+        return none, []
+    bins: dict[int, int] = {}
+    heavy, width = [low], high - low + 1
+    while heavy:
+        old, width = width, -(-width // (_SPLIT if bins else _BINS))
+        start = _starts(heavy, old, width)("id").alias("start")
+        rows = sized.where("id is not null").select(start, "size").where("start is not null").groupBy("start").agg(F.sum("size").alias("b"))
+        finer = {r["start"]: r["b"] for r in rows.collect()}
+        bins = {k: v for k, v in bins.items() if k not in set(heavy)} | finer
+        heavy = sorted(k for k, v in finer.items() if v > limit) if width > 1 else []  # at most MAX_SHARDS
+    borders, filled = [], 0
+    for start in sorted(bins):
+        if filled >= limit or (filled and filled + bins[start] > limit):
+            borders.append(start)
+            filled = 0
+        filled += bins[start]
+    return none, borders
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write a record per row under ``folder`` (a URI that all executors reach) and return the manifest.
 
     Of equal payloads of at least 1000 bytes the row with the largest id becomes a response record, all others revisit
-    it; several such rows with that largest id are all responses. Rows without an id come first, are responses and
-    are not revisited. Null html is an empty payload, a null url an empty one. Repeated rows are records of their
+    it; several such rows with that largest id are all responses. Rows without an id come first, in shards by their
+    content, are responses and are not revisited. Null html is an empty payload, a null url an empty one. Repeated rows are records of their
     own. An empty table gives an empty manifest. Other columns are not read.
     """
     spark = pages.sparkSession
@@ -124,9 +154,14 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     first = copies.groupBy("digest", "size").agg(F.max("id").alias("to"), F.min("id").alias("least")).where("least < to").drop("least")
     revisits = copies.join(first, ["digest", "size"]).where("id < to").select("id", "digest", "to").distinct()
 
-    low, width, of = _shards(sized, shard_bytes)
-    place = F.floor((F.col("id") - low) / width).cast("int")
-    shard = F.when(F.col("id").isNull(), 0).otherwise(F.get(F.lit(of), place)).cast("int")
+    none, borders = _borders(sized, shard_bytes)
+
+    @F.pandas_udf("int")
+    def placed(ids: pd.Series) -> pd.Series:
+        return pd.Series(none + np.searchsorted(np.array(borders, dtype=np.int64), ids.to_numpy(dtype=np.int64), side="right"), dtype="int32")
+
+    spread = F.pmod(F.xxhash64("digest", "url"), F.lit(none)).cast("int")
+    shard = F.when(F.col("id").isNull(), spread).otherwise(placed(F.coalesce("id", F.lit(0).cast("long"))))
     # marks of revisits travel with the rows, so pages move once; a mark sorts before the rows with its id
     marks = revisits.select("id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("html"), "digest", "to")
     both = rows.select("id", "url", "html", F.sha1("html").alias("digest"), F.lit(None).cast("long").alias("to")).union(marks).withColumn("shard", shard)
@@ -188,7 +223,10 @@ def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
 def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
     """The records of all files that the manifest lists: ``page_id, url, payload_bytes, payload_digest, record_type,
     refers_to`` and, if asked for, ``payload`` (null for a revisit). Digests of payloads and files are checked."""
-    listed = spark.read.schema(_MANIFEST).json(f"{folder}/manifest").select("file", "sha256").repartition("file")
+    manifest = spark.read.schema(_MANIFEST).json(f"{folder}/manifest")
+    files, size = manifest.agg(F.count("*"), F.sum("bytes")).first()
+    tasks = max(1, min(files, max(spark.sparkContext.defaultParallelism, -(-(size or 0) // READ_BYTES))))
+    listed = manifest.select("file", "sha256").repartition(tasks)  # a stated number, which is not merged at run time
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *(["payload"] * payloads)]
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())[: len(names)]
 

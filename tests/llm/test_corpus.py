@@ -380,6 +380,26 @@ def test_warc(spark, tmp_path):
 # --- toxicity
 
 
+def test_warc_shards_of_clustered_ids(spark, tmp_path):
+    ids = [*range(300), 1 << 61, *[None] * 100]
+    rows = [(i, f"http://x/{n}", f"{n:04d}" * 30) for n, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    kept = {}
+    for name, parts in (("one", 2), ("two", 7)):
+        kept[name] = warc.write(pages.repartition(parts), f"file://{tmp_path}/{name}", shard_bytes=480).collect()
+    assert sorted(map(tuple, kept["one"])) == sorted(map(tuple, kept["two"]))
+    limit = min(480, 120 * len(ids) // warc.MIN_SHARDS)
+    records = Counter()
+    for r in kept["one"]:
+        records[r.shard] += r.records
+    none, borders = warc._borders(pages.select(F.col("page_id").alias("id"), F.octet_length("html").cast("long").alias("size")), 480)
+    assert none == -(-120 * 100 // limit) and all(n * 120 <= limit for s, n in records.items() if s >= none)
+    assert len({s for s in records if s < none}) > none // 3
+    found = warc.read(spark, f"file://{tmp_path}/one")
+    assert found.rdd.getNumPartitions() >= 4
+    assert sorted((r.page_id is not None, r.page_id or 0, r.url) for r in found.collect()) == sorted((i is not None, i or 0, u) for i, u, _ in rows)
+
+
 def test_dictionaries_hold_running_text():
     insult = ["stupid", "moron", "oaf"]
     texts = [prose(i, 60) + (f" you {insult[i % 3]} there" if i % 4 == 0 else "") for i in range(400)]
