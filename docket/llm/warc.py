@@ -13,11 +13,9 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docket.llm.common import checkpointed
@@ -97,18 +95,23 @@ class _Files:
         return name, self.shard, self.count, self.size, self.sha.hexdigest()
 
 
-def _starts(parents: list[int], old: int, width: int):
-    """First id of the bin of ``width`` ids within the bins of ``old`` ids that start at ``parents``; null outside."""
+def _at_most(heads: list[int], x: Column) -> Column:
+    """How many of the sorted ``heads`` are at most ``x``, by bisection within the row."""
+    if not heads:
+        return F.lit(0)
+    held = F.split(F.lit(",".join(map(str, heads))), ",").cast("array<bigint>")  # folded to a literal
+    steps = F.lit([1 << i for i in reversed(range(len(heads).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, s: n + F.when(F.get(held, n + s - 1) <= x, s).otherwise(0))
 
-    @F.pandas_udf("long")
-    def start(ids: pd.Series) -> pd.Series:
-        heads, at = np.array(parents, dtype=np.int64), ids.to_numpy(dtype=np.int64)
-        head = heads[np.maximum(np.searchsorted(heads, at, side="right") - 1, 0)]
-        off = at.view(np.uint64) - head.view(np.uint64)  # ids may span all longs, so differences wrap
-        first = (head.view(np.uint64) + off // np.uint64(width) * np.uint64(width)).view(np.int64)
-        return pd.Series(pd.arrays.IntegerArray(first, (at < head) | (off > np.uint64(old - 1))))
 
-    return start
+def _starts(heads: list[int], old: int, width: int) -> Column:
+    """First id of the bin of ``width`` ids that holds ``id``, within bins of ``old`` ids that start at ``heads``; null
+    outside. Ids may span all longs, so differences are decimals."""
+    wide = lambda x: x.cast("decimal(20,0)")
+    held = F.split(F.lit(",".join(map(str, heads))), ",").cast("array<bigint>")
+    head = wide(F.get(held, _at_most(heads, F.col("id")) - 1))
+    off, each = wide(F.col("id")) - head, wide(F.lit(str(width)))
+    return F.when(off < wide(F.lit(str(old))), head + F.floor(off / each) * each).cast("long")
 
 
 def _borders(sized: DataFrame, shard_bytes: int) -> tuple[int, list[int]]:
@@ -124,7 +127,7 @@ def _borders(sized: DataFrame, shard_bytes: int) -> tuple[int, list[int]]:
     heavy, width = [low], high - low + 1
     while heavy:
         old, width = width, -(-width // (_SPLIT if bins else _BINS))
-        start = _starts(heavy, old, width)("id").alias("start")
+        start = _starts(heavy, old, width).alias("start")
         rows = sized.where("id is not null").select(start, "size").where("start is not null").groupBy("start").agg(F.sum("size").alias("b"))
         finer = {r["start"]: r["b"] for r in rows.collect()}
         bins = {k: v for k, v in bins.items() if k not in set(heavy)} | finer
@@ -156,12 +159,8 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 
     none, borders = _borders(sized, shard_bytes)
 
-    @F.pandas_udf("int")
-    def placed(ids: pd.Series) -> pd.Series:
-        return pd.Series(none + np.searchsorted(np.array(borders, dtype=np.int64), ids.to_numpy(dtype=np.int64), side="right"), dtype="int32")
-
     spread = F.pmod(F.xxhash64("digest", "url"), F.lit(none)).cast("int")
-    shard = F.when(F.col("id").isNull(), spread).otherwise(placed(F.coalesce("id", F.lit(0).cast("long"))))
+    shard = F.when(F.col("id").isNull(), spread).otherwise(_at_most(borders, F.col("id")) + none).cast("int")
     # marks of revisits travel with the rows, so pages move once; a mark sorts before the rows with its id
     marks = revisits.select("id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("html"), "digest", "to")
     both = rows.select("id", "url", "html", F.sha1("html").alias("digest"), F.lit(None).cast("long").alias("to")).union(marks).withColumn("shard", shard)
