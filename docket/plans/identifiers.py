@@ -36,8 +36,8 @@ over("ident_cets", ["5", "005", "CETS 5", "ETS no. 5", "Convention no 108", "#21
 WITH s AS (SELECT raw, regexp_extract(lower(trim(raw)), r'^(?:(?:cets|ets|treaty|convention)[^0-9]*)?(?:no\.?\s*)?#?\s*(\d{1,3})$', 1) AS d FROM {refs})
 SELECT raw, CASE WHEN d <> '' THEN lpad(d, 3, '0') END AS number FROM s""")
 
-over("ident_efta", ["E-14/15", "e14-15", "e 14/15", "E-08/26", "8/25", "E0825", "e-3/2020"], r"""
-WITH s AS (SELECT raw, regexp_extract(raw, r'(?i)(?:E\s*-?\s*)?0*(\d+)\s*[-/]\s*0*(\d+)', 1) AS n, regexp_extract(raw, r'(?i)(?:E\s*-?\s*)?0*(\d+)\s*[-/]\s*0*(\d+)', 2) AS y FROM {refs}),
+over("ident_efta", ["E-14/15", "e14-15", "e 14/15", "E-08/26", "8/25", "E0825", "e-3/2020", "E-14_15", "e 3 20"], r"""
+WITH s AS (SELECT raw, regexp_extract(raw, r'(?i)(?:E\s*-?\s*)?0*(\d+)\s*[-/_\s]\s*0*(\d+)', 1) AS n, regexp_extract(raw, r'(?i)(?:E\s*-?\s*)?0*(\d+)\s*[-/_\s]\s*0*(\d+)', 2) AS y FROM {refs}),
 k AS (SELECT raw, n, CASE WHEN length(y) < 2 THEN concat('0', y) ELSE y END AS y FROM s)
 SELECT raw, CASE WHEN n <> '' THEN concat('E-', n, '/', y) END AS case_number,
   CASE WHEN n <> '' THEN CASE WHEN length(y) = 4 THEN CAST(y AS INT) WHEN CAST(y AS INT) >= 94 THEN 1900 + CAST(y AS INT) ELSE 2000 + CAST(y AS INT) END END AS year FROM k""")
@@ -70,17 +70,20 @@ WITH s AS (SELECT raw, upper(regexp_extract(regexp_replace(raw, r'\s+', '' /*g*/
 SELECT raw, CASE WHEN series = '' THEN NULL WHEN series = 'A/B' THEN concat('A/B', CAST(CAST(n AS INT) AS VARCHAR(9))) ELSE concat(series, CASE WHEN CAST(n AS INT) < 10 THEN '0' ELSE '' END, CAST(CAST(n AS INT) AS VARCHAR(9))) END AS code,
   CASE series WHEN 'A/B' THEN 'ab' WHEN 'A' THEN 'a' WHEN 'B' THEN 'b' END AS series FROM s""")
 
-over("ident_icj_pdf", ["/sites/default/files/case-related/70/70-19840510-ord-01-00-en.pdf", "/case-related/70/070-19840510-JUD-01-00-EN.pdf", "/case-related/71/70-19840510-ord-01-00-en.pdf", "/x.pdf"], r"""
-WITH k AS (SELECT raw, r'(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$' AS re FROM {refs}),
-s AS (SELECT raw, regexp_extract(raw, r'(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$', 1) AS a, regexp_extract(raw, r'(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$', 2) AS b,
-  regexp_extract(raw, r'(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$', 3) AS d, lower(regexp_extract(raw, r'(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$', 4)) AS t,
-  regexp_extract(raw, r'(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$', 5) AS serial, lower(regexp_extract(raw, r'(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$', 6)) AS lang FROM {refs})
-SELECT raw, CAST(a AS INT) AS case_id, concat(substr(d, 1, 4), '-', substr(d, 5, 2), '-', substr(d, 7, 2)) AS date, t AS doc_type, serial, lang FROM s WHERE a <> '' AND try_cast(a AS INT) = try_cast(b AS INT)""".replace("""WITH k AS (SELECT raw, r'(?i)/case-related/(\\d+)/(\\d+)-(\\d{8})-([a-z]+)-(\\d{2}-\\d{2})-([a-z]+)\\.pdf$' AS re FROM {refs}),
-s AS""", "WITH s AS"))
-
-over("ident_media", ["URN:NBN:no-nb_digibok_2008051600041", "digavis_1", "http://x", "no-nb_digitidsskrift_12"], r"""
-WITH s AS (SELECT raw, regexp_replace(trim(raw), r'^(URN:NBN:)?(no-nb_)?', '') AS id FROM {refs})
-SELECT raw, CASE WHEN regexp_extract(id, r'^dig[a-z]+_[0-9A-Za-z-]+$', 0) <> '' THEN id END AS media_id, CASE WHEN regexp_extract(id, r'^dig[a-z]+_[0-9A-Za-z-]+$', 0) <> '' THEN concat('URN:NBN:no-nb_', id) END AS urn FROM s""")
+_FILED = r"(?i)/case-related/(\d+)/(\d+)-(\d{8})-([a-z]+)-(\d{2}-\d{2})-([a-z]+)\.pdf$"
+_PARTS = ", ".join(f"regexp_extract(raw, r'{_FILED}', {i}) AS {name}" for i, name in enumerate(("a", "b", "d", "t", "serial", "lang"), 1))
+over("ident_icj_pdf", ["/sites/default/files/case-related/70/70-19840510-ord-01-00-en.pdf", "/case-related/70/070-19840510-JUD-01-00-EN.pdf", "/case-related/71/70-19840510-ord-01-00-en.pdf", "/x.pdf"], f"""
+WITH s AS (SELECT raw, {_PARTS} FROM {{refs}})
+SELECT raw, CAST(a AS INT) AS case_id, concat(substr(d, 1, 4), '-', substr(d, 5, 2), '-', substr(d, 7, 2)) AS date, lower(t) AS doc_type, serial, lower(lang) AS lang
+FROM s WHERE a <> '' AND try_cast(a AS INT) = try_cast(b AS INT)""")
+
+# Kinds of media in identifiers, and the prefixes that may stand before them.
+MEDIA = ["digibok", "digavis", "digifoto", "digitidsskrift", "digikart", "digimanus", "digiprogramrapport", "pliktmonografi", "pliktperiodika"]
+URN_PREFIXES = ["URN:NBN:no-nb_", "urn:nbn:no-nb_", "urn:nbn:no-nb:"]
+over("ident_media", ["URN:NBN:no-nb_digibok_2008051600041", "digavis_1", "http://x", "no-nb_digitidsskrift_12", "urn:nbn:no-nb:pliktmonografi_7a", " pliktperiodika_1 ", "digilyd_1", "digibok_2-1"], f"""
+WITH s AS (SELECT raw, regexp_replace(trim(raw), r'^({"|".join(URN_PREFIXES)})', '') AS bare FROM {{refs}}),
+k AS (SELECT raw, nullif(regexp_extract(bare, r'^({"|".join(MEDIA)})_[0-9A-Za-z]+$', 0), '') AS media_id FROM s)
+SELECT raw, media_id, CASE WHEN media_id IS NOT NULL THEN concat('URN:NBN:no-nb_', media_id) END AS urn FROM k""")
 
 over("ident_article", ["Artikkel II", "Art. 4", "33", "xxxiii", "ARTIKKEL iv"], rf"""
 WITH s AS (SELECT raw, upper(trim(regexp_replace(raw, r'(?i)^\s*(artikkel|art\.?)\s*', ''))) AS k FROM {{refs}})
@@ -99,12 +102,30 @@ SELECT raw, coalesce(n.kind, s.t) AS type, s.date, s.lang FROM s LEFT JOIN n ON
 over("ident_declaration_link", ["Norway 24 June 1996", "Costa Rica 20 February 1973", "Togo"], r"""
 SELECT raw, regexp_extract(raw, r'^(\D*?)\s*(\d.*)?$', 1) AS state, nullif(regexp_extract(raw, r'^(\D*?)\s*(\d.*)?$', 2), '') AS deposited FROM {refs}""")
 over("ident_paragraph_sign", ["5", "§ 12 a", "§3-1"], r"SELECT raw, concat('§', regexp_replace(replace(raw, '§', ''), r'\s+', '' /*g*/)) AS section FROM {refs}")
-over("ident_case_head", ["Radomilja and Others v. Croatia", "X c. Suisse", "Smith vs. UK", "Alone"], r"""
-WITH h AS (SELECT raw, regexp_extract(raw, r'^(.*?)(\s(v|c|vs)\.\s.*)?$', 1) AS head FROM {refs})
-SELECT raw, head, lower(regexp_replace(head, r"[^\w'-]+".replace('x', 'x'), ' ' /*g*/)) AS tokens FROM h""".replace("""r"[^\\w'-]+".replace('x', 'x')""", "r'[^A-Za-z0-9_-]+'"))
-over("ident_procedure", ["sources-no;types-ao", "types-da", "x;types-inf", ""], r"""
-SELECT raw, CASE WHEN instr(raw, 'types-ao') > 0 THEN 'AO' WHEN instr(raw, 'types-inf') > 0 THEN 'INF' WHEN instr(raw, 'types-da') > 0 THEN 'DA' ELSE '' END AS procedure,
-  CASE WHEN instr(raw, 'sources-no') > 0 THEN 'NO' WHEN instr(raw, 'sources-li') > 0 THEN 'LI' WHEN instr(raw, 'sources-is') > 0 THEN 'IS' ELSE '' END AS country FROM {refs}""")
+# words hold letters, digits, low lines, apostrophes and hyphens; those of one character count only if there is no other
+_WORDS = r"trim(regexp_replace({}, r'[^\p{{L}}\p{{N}}_\x27-]+', '  ' /*g*/))"
+over("ident_case_head", ["Radomilja and Others v. Croatia", "X c. Suisse", "Smith vs UK", "Alone", "O'Keeffe v. Ireland", "Ærø & Öz-Türk vs. B v. C", "X v. Y"], rf"""
+WITH h AS (SELECT raw, regexp_replace(raw, r'\s+(v\.|c\.|vs\.?)\s+.*$', '') AS head FROM {{refs}}),
+t AS (SELECT raw, head, trim(regexp_replace(regexp_replace(concat(' ', {_WORDS.format("head")}, ' '), r' [^ ] ', ' ' /*g*/), r' +', ' ' /*g*/)) AS long_words, regexp_replace({_WORDS.format("raw")}, r' +', ' ' /*g*/) AS all_words FROM h)
+SELECT raw, head, CASE WHEN long_words <> '' THEN long_words ELSE all_words END AS tokens FROM t""")
+
+# Words that name the procedure, and the country in a list of referring bodies and in the names of the parties.
+_PROCEDURES = [("AO", ["advisory", "preliminary"]), ("INF", ["fulfil", "infringement"]), ("DA", ["annulment", "failure-to-act"])]
+_REFERRING = [
+    ("NO", ["norges", "borgarting", "agder", "frostating", "gulating", "hålogaland", "halogaland", "norsk", "norwegian", "norway"]),
+    ("LI", ["liechtenstein", "fürstentum", "furstentum", "vaduz"]),
+    ("IS", ["island", "iceland", "héraðsdómur", "heradsdomur", "landsréttur", "landsrettur", "hæstirétt", "haestirett", "reykjavik", "reykjavík"]),
+]
+_PARTIES = [("NO", ["norway", "norge"]), ("IS", ["iceland", "ísland", "island"]), ("LI", ["liechtenstein"])]
+
+
+def _first_named(text: str, kinds: list[tuple[str, list[str]]]) -> str:
+    """The first kind one of whose words is in the text, else empty."""
+    return "CASE " + " ".join("WHEN " + " OR ".join(f"instr(lower({text}), '{w}') > 0" for w in words) + f" THEN '{kind}'" for kind, words in kinds) + " ELSE '' END"
+
+
+over("ident_procedure", ["request-for-an-advisory-opinion;Borgarting lagmannsrett", "failure-to-fulfil-obligations;Kingdom of Norway", "action-for-annulment;Vaduz and Reykjavík", "FAILURE-TO-ACT;Island v Liechtenstein", "Fürstliches Landgericht", ""], f"""
+SELECT raw, {_first_named("raw", _PROCEDURES)} AS procedure, {_first_named("raw", _REFERRING)} AS referring, {_first_named("raw", _PARTIES)} AS parties FROM {{refs}}""")
 over("ident_urls", ["IV-4", "XXIII-1"], r"SELECT raw, concat('/Pages/ViewDetails.aspx?src=TREATY&mtdsg_no=', raw, '&lang=_en') AS details, sha1(raw) AS key, substr(sha1(raw), 1, 12) AS short_key FROM {refs}")
 over("ident_person_name", ["Ibsen, Henrik", "Madonna", "a, b, c"], r"SELECT raw, trim(split_part(raw, ',', 1)) AS surname, CASE WHEN instr(raw, ',') > 0 THEN trim(substr(raw, instr(raw, ',') + 1)) ELSE '' END AS given FROM {refs}")
 
@@ -130,19 +151,19 @@ COE_ALIASES = [
     ("statute", "001"), ("council of europe statute", "001"), ("social charter", "035"), ("european social charter", "035"), ("revised social charter", "163"),
     ("echr p1", "009"), ("echr p4", "046"), ("echr p6", "114"), ("echr p7", "117"), ("echr p12", "177"), ("echr p13", "187"), ("echr p15", "213"), ("echr p16", "214"),
 ]
-_ASKED = ["ICCPR", "vclt", " Rome Statute ", "E.C.H.R.", "Budapest Convention", "nothing known"]
+_ASKED = ["ICCPR", "vclt", " Rome Statute ", "E.C.H.R.", "(ECHR)", "Budapest  Convention!", "nothing known"]
 
 
 @query("alias_resolve", rf"""
 WITH a AS (SELECT 'UN' AS register, alias, ref FROM {values_sql(UN_ALIASES, 'alias, ref')} UNION ALL SELECT 'CoE', alias, ref FROM {values_sql(COE_ALIASES, 'alias, ref')}),
-q AS (SELECT raw, lower(trim(raw)) AS k, regexp_replace(lower(trim(raw)), '[^a-z0-9 +-]', '', 'g') AS k2 FROM {values_sql([(x,) for x in _ASKED], 'raw')})
+q AS (SELECT raw, lower(trim(raw)) AS k, trim(regexp_replace(regexp_replace(lower(trim(raw)), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS k2 FROM {values_sql([(x,) for x in _ASKED], 'raw')})
 SELECT q.raw, coalesce(a.register, b.register) AS register, coalesce(a.ref, b.ref) AS ref FROM q LEFT JOIN a ON q.k = a.alias LEFT JOIN a b ON q.k2 = b.alias""")
 def alias_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact alias first, then without punctuation (J2). The alias tables are fixed and small, so they are broadcast."""
+    """Exact alias first, then with blanks for punctuation (J2). The alias tables are fixed and small, so they are broadcast."""
     un = values(spark, [("UN", *r) for r in UN_ALIASES], "register, alias, ref")
     aliases = F.broadcast(un.union(values(spark, [("CoE", *r) for r in COE_ALIASES], "register, alias, ref")))
     low = F.lower(F.trim("raw"))
-    asked = values(spark, [(x,) for x in _ASKED], "raw").select("raw", low.alias("k"), F.regexp_replace(low, "[^a-z0-9 +-]", "").alias("k2"))
+    asked = values(spark, [(x,) for x in _ASKED], "raw").select("raw", low.alias("k"), F.trim(F.regexp_replace(F.regexp_replace(low, r"[^\p{L}\p{N}_\s]", " "), r"\s+", " ")).alias("k2"))
     exact = asked.join(aliases.select(F.col("register").alias("r1"), F.col("alias").alias("k"), F.col("ref").alias("f1")), "k", "left")
     both = exact.join(aliases.select(F.col("register").alias("r2"), F.col("alias").alias("k2"), F.col("ref").alias("f2")), "k2", "left")
     return both.select("raw", F.coalesce("r1", "r2").alias("register"), F.coalesce("f1", "f2").alias("ref"))

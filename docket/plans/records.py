@@ -52,7 +52,18 @@ SELECT m.asked, r.n_name AS suggestion FROM miss m LEFT JOIN r ON r.asked = m.as
 dual("digit_complement_order", r"SELECT o_orderkey, translate(CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)), '0123456789', '9876543210') AS sort_key FROM {orders}")
 dual("register_page", r"SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY o_totalprice DESC, o_orderkey LIMIT 20 OFFSET 40")
 dual("field_promotion", r"SELECT c_custkey AS number, c_name AS title, CAST(NULL AS VARCHAR(9)) AS parent, concat('https://example.org/treaty/', CAST(c_custkey AS VARCHAR(12))) AS source_url FROM {customer}")
-dual("title_case_slug", f"SELECT raw, replace(raw, '-', ' ') AS words, concat(upper(substr(raw, 1, 1)), substr(replace(raw, '-', ' '), 2)) AS label FROM {values_sql([('case-e-14',), ('x',)], 'raw')} t")
+_SLUGS = [("case-e-14",), ("x",), ("14a-REV-o'b",), ("",)]
+
+
+@query("title_case_slug", f"""
+WITH w AS (SELECT raw, replace(raw, '-', ' ') AS words FROM {values_sql(_SLUGS, 'raw')})
+SELECT raw, words, array_to_string([CASE WHEN i = 1 OR NOT regexp_matches(substr(words, i - 1, 1), '[[:alpha:]]') THEN upper(substr(words, i, 1)) ELSE lower(substr(words, i, 1)) END FOR i IN range(1, length(words) + 1)], '') AS label FROM w""")
+def title_case_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every letter that follows no letter is raised, the others are lowered."""
+    words = values(spark, _SLUGS, "raw").select("raw", F.replace("raw", F.lit("-"), F.lit(" ")).alias("words"))
+    marks = F.split("words", "")
+    inside = lambda i: (i > 0) & F.coalesce(F.get(marks, i - 1).rlike(r"\p{L}"), F.lit(False))
+    return words.select("raw", "words", F.array_join(F.transform(marks, lambda c, i: F.when(inside(i), F.lower(c)).otherwise(F.upper(c))), "").alias("label"))
 
 
 @query("capture_between", """

@@ -113,7 +113,7 @@ FULL OUTER JOIN (SELECT s_nationkey, count(*) AS n FROM {supplier} WHERE s_natio
 _LAST = "(SELECT user_id, max(ts) AS fetched_at, count(*) AS fetches FROM {events} GROUP BY user_id)"
 _NOW = "(SELECT max(ts) AS now FROM {events})"
 dual("freshness_report", f"""
-SELECT l.user_id, l.fetches, CASE WHEN l.fetched_at >= n.now - INTERVAL '1' DAY THEN 'fresh' WHEN l.fetched_at >= n.now - INTERVAL '14' DAY THEN 'stale' ELSE 'expired' END AS state FROM {_LAST} l, {_NOW} n""".replace(f", {_NOW} n", f" JOIN {_NOW} n ON true"))
+SELECT l.user_id, l.fetches, CASE WHEN l.fetched_at >= n.now - INTERVAL '1' DAY THEN 'fresh' WHEN l.fetched_at >= n.now - INTERVAL '14' DAY THEN 'stale' ELSE 'expired' END AS state FROM {_LAST} l JOIN {_NOW} n ON true""")
 _PROBES = [
     ("u1", "a", "a", "e1", "e1", 1, 200), ("u2", "a", "b", "e1", "e1", 1, 200), ("u3", None, None, "e1", "e2", 1, 200), ("u4", None, None, None, None, 20, 200), ("u5", None, None, None, None, 3, 200), ("u6", None, None, None, None, None, None),
 ]
@@ -134,17 +134,17 @@ dual("retry_schedule", f"SELECT kind, attempt, sum(CAST(delay AS DOUBLE)) OVER (
 
 
 @query("ibid_resolve", """
-WITH f AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN left(text, 40) END AS reference FROM conversations)
+WITH f AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN text END AS reference FROM conversations)
 SELECT conv_id, turn, reference, last_value(reference IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS antecedent FROM f""")
 def ibid_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A short reference points to the last full one before it."""
-    f = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.left("text", F.lit(40))).alias("reference"))
+    f = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.col("text")).alias("reference"))
     return ordered.preceding(f, "conv_id", "turn", F.col("reference"), "antecedent")
 
 
 dual("footnote_letters", r"""
 SELECT conv_id, turn, concat(CAST(conv_id AS VARCHAR(12)), CASE WHEN count(*) OVER (PARTITION BY conv_id, role) > 1 THEN chr(CAST(96 + row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS INT)) ELSE '' END) AS location, role FROM {conversations}""")
-dual("crossref_check", r"SELECT c.conv_id, c.turn, c.turn + 2 AS target, t.turn IS NOT NULL AS exists FROM {conversations} c LEFT JOIN {conversations} t ON t.conv_id = c.conv_id AND t.turn = c.turn + 2".replace("AS exists", "AS found"))
+dual("crossref_check", r"SELECT c.conv_id, c.turn, c.turn + 2 AS target, t.turn IS NOT NULL AS found FROM {conversations} c LEFT JOIN {conversations} t ON t.conv_id = c.conv_id AND t.turn = c.turn + 2")
 _SHEET = [
     ("1", "yes", "q", "no", None, None, None), ("2", "yes", "q", "yes", "Quotation not verbatim", "high", "x"), ("3", "yes", None, "yes", "Quotation not verbatim", "high", "x"), ("4", "source unavailable", "q", "no", None, None, None), ("5", "maybe", None, None, None, None, None),
 ]
@@ -182,13 +182,26 @@ def basename_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 dual("library_prepworks_sql", r"""
-SELECT ri.doc_id, ri.lang, ri.source, d.content FROM {documents} ri JOIN (SELECT doc_id, substr(text, 1, 400) AS content, 0 AS chunk_index, 'fulltext_chunk' AS kind FROM {documents}) d ON d.doc_id = ri.doc_id AND d.kind = 'fulltext_chunk'
-WHERE ri.lang IN ('en', 'fr') AND d.chunk_index = 0 AND ri.source LIKE 'src1%' AND d.content LIKE '%the%' ORDER BY ri.doc_id LIMIT 5""")
+SELECT d.doc_id, d.lang, d.source, substr(d.text, 1, 400) AS content FROM {documents} d JOIN {labels} l ON l.doc_id = d.doc_id
+WHERE l.quality = 1 AND d.lang IN ('en', 'fr') AND d.source LIKE 'src1%' AND d.text LIKE '%the%' ORDER BY d.doc_id LIMIT 5""")
 dual("library_caselaw_sql", r"SELECT doc_id, substr(text, 1, 400) AS snippet FROM {documents} WHERE text LIKE '%re%th%on%' ORDER BY doc_id LIMIT 5")
 dual("creator_roles", f"SELECT name, CASE role WHEN 'edt' THEN 'editor' WHEN 'trl' THEN 'translator' WHEN 'aut' THEN 'author' WHEN 'cre' THEN 'author' ELSE 'contributor' END AS creator_type FROM {values_sql(_BOOKS, 'title, name, role, place, year, pages')} b")
 _WIDTHS = [("a", 608, 502), ("a", 608, 251), ("b", 100, 502), ("b", 100, 251), ("c", 600, None)]
 dual("pick_width", f"SELECT page, target, coalesce(max(CASE WHEN width <= target THEN width END), min(width), target) AS width FROM {values_sql(_WIDTHS, 'page, target, width')} w GROUP BY page, target")
-dual("median_dpi", r"WITH d AS (SELECT p_brand, greatest(1, CAST(floor(p_size / 11.6929 * 10) AS INT)) AS dpi, p_partkey FROM {part}), r AS (SELECT p_brand, dpi, row_number() OVER (PARTITION BY p_brand ORDER BY dpi, p_partkey) AS rn, count(*) OVER (PARTITION BY p_brand) AS n FROM d) SELECT p_brand, dpi FROM r WHERE rn = CAST(floor(n / 2) AS INT) + 1")
+_PAGES = "SELECT p_brand, p_partkey, greatest(1, CAST({half_even}(CAST(p_size AS DOUBLE) * 100 / (CAST(297 AS DOUBLE) / CAST(25.4 AS DOUBLE)){places}) AS INT)) AS dpi FROM part"
+
+
+@query("median_dpi", f"""
+WITH d AS ({_PAGES.format(half_even="round_even", places=", 0")}), r AS (SELECT p_brand, dpi, row_number() OVER (PARTITION BY p_brand ORDER BY dpi, p_partkey) AS rn, count(*) OVER (PARTITION BY p_brand) AS n FROM d)
+SELECT p_brand, dpi FROM r WHERE rn = CAST(floor(n / 2) AS INT) + 1""")
+def median_dpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dots an inch of an A4 page from its height, rounded half to even; the upper median of each group (K9, A10). Counts
+    of values are summed before they meet, so a group is one row for each of its few values."""
+    dpi = F.greatest(F.lit(1), F.bround(F.col("p_size").cast("double") * 100 / F.lit(297 / 25.4)).cast("int"))
+    counts = table(spark, sf_dir, "part").groupBy("p_brand", dpi.alias("dpi")).agg(F.count("*").alias("n"))
+    held = counts.groupBy("p_brand").agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("dpi", "n"))).alias("values"))
+    below = lambda x: F.aggregate(F.filter("values", lambda y: y["dpi"] <= x["dpi"]), F.lit(0).cast("long"), lambda a, y: a + y["n"])
+    return held.select("p_brand", F.get(F.filter("values", lambda x: below(x) > F.floor(F.col("total") / 2)), 0)["dpi"].alias("dpi"))
 
 
 @query("tile_grid", """

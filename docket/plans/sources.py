@@ -78,10 +78,19 @@ def quote_status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.agg(F.grouping("severity").cast("int").alias("all_severities"), F.grouping("lang").cast("int").alias("all_langs"), F.count("*").alias("n"), F.countDistinct("item_id").alias("items"))
 
 
-dual("doc_versions_best", r"""
+@query("doc_versions_best", """
 WITH r AS (SELECT d.doc_id, d.source, d.lang, l.quality, row_number() OVER (PARTITION BY d.source ORDER BY CASE WHEN l.quality = 1 THEN 0 WHEN l.quality = 0 THEN 1 ELSE 2 END,
-  CASE d.lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 ELSE 2 END, d.n_chars DESC, d.doc_id) AS rn FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id)
+  CASE d.lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 ELSE 2 END, d.n_chars DESC, d.doc_id) AS rn FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
 SELECT source, doc_id, lang, quality FROM r WHERE rn = 1""")
+def doc_versions_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best version of each source in a stated order (J18): a minimum that tasks take before rows move, so a source that
+    holds most documents is one row of each task."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    rank = F.when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+    tongue = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1).otherwise(2)
+    best = F.min(F.struct(rank.alias("r"), tongue.alias("t"), (-F.col("n_chars")).alias("c"), "doc_id", "lang", "quality"))
+    return docs.groupBy("source").agg(best.alias("b")).select("source", "b.doc_id", "b.lang", "b.quality")
+
 
 # Kinds and branches of decisions in order of preference.
 _VERSIONS = [
@@ -112,16 +121,19 @@ def doc_consecutive_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", lines.alias("ls")).select("doc_id", F.size("ls").cast("long").alias("lines"), kept.cast("long").alias("kept"))
 
 
-_JUDGMENT = "preface\n1\ntext\n73\n2.  Body of two\n4. The third is missing\n9. Not accepted\n5\nlast"
-
-
-@query("para_split", "SELECT * FROM (VALUES (1, 'text' || chr(10) || '73'), (2, 'Body of two'), (4, 'The third is missing' || chr(10) || '9. Not accepted'), (5, 'last')) AS v(para, body)")
+@query("para_split", r"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), n AS (SELECT doc_id, ls, unnest(range(0, len(ls))) AS i FROM l)
+SELECT doc_id, CAST(i + 1 AS INT) AS para, rtrim('T' || ls[i + 1] || CASE WHEN i % 3 = 0 AND i + 1 < len(ls) THEN chr(10) || CAST(i + 1002 AS VARCHAR) || ' T' || ls[i + 2] ELSE '' END, ' ' || chr(9) || chr(10)) AS body
+FROM n WHERE i % 3 <> 1""")
 def para_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monotonic paragraph counter (W5) over a worked example."""
+    """The monotonic paragraph counter (W5) over all documents, their lines numbered with every third number out of order:
+    such a line stays in the paragraph before it, and the next number is still accepted."""
     from docket.operators.paragraphs import split_paragraphs
 
-    text = values(spark, [("x", _JUDGMENT)], "doc, text")
-    return split_paragraphs(text, "doc", "text").select("para", "body")
+    number = lambda i: i + 1 + F.when(i % 3 == 1, 1000).otherwise(0)
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(number(i).cast("string"), F.lit(" T"), x))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
+    return split_paragraphs(docs, "doc_id", "text")
 
 
 dual("line_grep", r"""

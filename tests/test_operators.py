@@ -29,8 +29,8 @@ def test_lucene(spark):
 
 
 def test_paragraph_counter(spark):
-    docs = values(spark, [("a", "x\n1\ntext\n73\n2.  Body"), ("b", "no numbers"), ("c", None), ("d", "2\nnot first")], "doc, text")
-    assert sorted(tuple(r) for r in split_paragraphs(docs, "doc", "text").collect()) == [("a", 1, "text\n73"), ("a", 2, "Body")]
+    docs = values(spark, [("a", "x\n1\ntext\n73\n2.  Body"), ("b", "no numbers"), ("c", None), ("d", "2\nfrom two\n3 The Court\n5\u00a0. “Quoted” text \n9 Later\n6 lower\n7"), ("e", "3\nnot first"), ("f", "1\r\n\r\n2. A\n")], "doc, text")
+    assert sorted(tuple(r) for r in split_paragraphs(docs, "doc", "text").collect()) == [("a", 1, "text\n73"), ("a", 2, "Body"), ("d", 2, "from two"), ("d", 3, "The Court"), ("d", 5, "“Quoted” text \n9 Later\n6 lower"), ("f", 1, ""), ("f", 2, "A")]
 
 
 def test_ordered(spark):
