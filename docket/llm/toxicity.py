@@ -12,7 +12,7 @@ built from, or a near copy of it; a document's score follows from its windows ab
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import cycle
 
@@ -149,15 +149,25 @@ def _strings(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]
     """(word, number of the string, how many there are) of the byte strings of each length that words with their borders hold."""
     raw = [b" %b " % w for w in words]
     sizes = np.array([len(r) for r in raw], dtype=np.int64)
-    data = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.uint64)
-    ends, word = np.repeat(np.cumsum(sizes), sizes), np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+    data, word = np.frombuffer(b"".join(raw), dtype=np.uint8), np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+    del raw
     h = np.zeros(len(data), dtype=np.uint64)
     for k in range(1, max(MARK_BYTES) + 1):
-        h = h[: max(0, len(data) - k + 1)] * np.uint64(0x9E3779B97F4A7C15) + data[k - 1 :] + np.uint64(1)
+        h = h[: max(0, len(data) - k + 1)]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += data[k - 1 :]
+        h += np.uint64(1)
         if k in MARK_BYTES:
-            ok = np.flatnonzero(np.arange(len(h)) + k <= ends[: len(h)])
-            known, of = np.unique(h[ok] ^ (h[ok] >> np.uint64(29)), return_inverse=True)
-            yield word[ok], of, len(known)
+            inside = word[: len(h)] == word[k - 1 :]  # the string ends in the word that it starts in
+            names, at = h[inside], word[: len(h)][inside]
+            names ^= names >> np.uint64(29)
+            order = np.argsort(names, kind="stable").astype(np.int32)
+            names = names[order]
+            of = np.empty(len(names), dtype=np.int32)
+            of[order] = np.cumsum(np.r_[False, names[1:] != names[:-1]][: len(names)], dtype=np.int32)
+            n = int(of.max()) + 1 if len(of) else 0
+            del names, order, inside
+            yield at, of, n
 
 
 def _marked(words: list[bytes], cases: list[tuple[np.ndarray, np.ndarray]]) -> list[list[int]]:
@@ -242,12 +252,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def fit(texts: list[str], toxic: list[int]) -> Model:
+def fit(texts: Iterable[str], toxic: Iterable[int]) -> Model:
     """Train on labelled texts; with one class only, the score is that class's smoothed rate."""
-    y = np.asarray(toxic, dtype=float)
+    return _fit(zip(texts, toxic))
+
+
+def _fit(rows: Iterable[tuple[str, int]]) -> Model:
+    """The texts are read one by one and held as numbers of their words."""
     number: dict[str, int] = {}
-    coded = [np.array([number.setdefault(w, len(number)) for w in windows(t)], dtype=np.int32) for t in texts]
+    coded, marks = [], []
+    for text, mark in rows:
+        coded.append(np.array([number.setdefault(w, len(number)) for w in windows(text)], dtype=np.int32))
+        marks.append(mark)
+    y = np.asarray(marks, dtype=float)
     names = list(number)
+    del number
     words = [w.encode() for w in names]
     group = _copies(coded)
     folds = group % FOLDS
@@ -257,16 +276,19 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     table, weights = np.zeros(_CELLS), np.zeros(_FEATURES + 1)
     if 0 < y.sum() < len(y):
         # the cells of each text's windows, with dictionaries of the other folds
-        cells: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(y)
+        cells: list[np.ndarray] = [np.zeros(0, dtype=np.int16)] * len(y)
         for fold in range(FOLDS):
             others, own = np.flatnonzero(folds != fold), np.flatnonzero(folds == fold)
             measured = _Cells(*_dictionaries([coded[i] for i in others], y[others], words, supports[fold], marked[fold]))
             used = np.unique(np.concatenate([np.zeros(0, dtype=np.int32), *(coded[i] for i in own)]))
-            of = np.zeros(len(words), dtype=np.int64)
+            of = np.zeros(len(words), dtype=np.int16)
             of[used] = [measured[names[w]] for w in used.tolist()]
             for i in own:
                 cells[i] = of[coded[i]]
-        counts = [np.bincount(np.concatenate([np.zeros(0, dtype=np.int64), *(c for c, k in zip(cells, y) if k == side)]), minlength=_CELLS) for side in (0, 1)]
+            del measured
+        counts = np.zeros((2, _CELLS), dtype=np.int64)
+        for c, k in zip(cells, marks):
+            counts[k] += np.bincount(c, minlength=_CELLS)
         sizes = [max(c.sum(), 1) for c in counts]
         table = np.log((counts[1] + 1) / sizes[1]) - np.log(counts[0] / sizes[0] + 1 / sizes[1])
         weights = _logistic(np.array([_evidence(table[c]) for c in cells]), y)
@@ -293,13 +315,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     text = F.coalesce(F.col(text_col), F.lit(""))
     some = docs.select(id_col, text.alias("_text"), F.octet_length(text).alias("_size")).join(F.broadcast(chosen), id_col)
     some = some.where(F.col("_size") <= size).orderBy(F.xxhash64(id_col), id_col, F.xxhash64("_text"), "_text").limit(rows)
-    texts, toxic = [], []
-    for r in some.toLocalIterator():
-        if r["_size"] <= size:
-            size -= r["_size"]
-            texts.append(r["_text"])
-            toxic.append(int(r["_toxic"]))
-    return fit(texts, toxic)
+
+    def taken() -> Iterator[tuple[str, int]]:
+        left = size
+        for r in some.toLocalIterator():
+            if r["_size"] <= left:
+                left -= r["_size"]
+                yield r["_text"], int(r["_toxic"])
+
+    return _fit(taken())
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
