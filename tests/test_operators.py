@@ -48,7 +48,18 @@ def test_occurrences_in_blocks(spark):
     sources = values(spark, [("s", "q1 q2 q3 "), ("t", "q3 q8 "), ("n", None)], "sid, text")
     whole = sorted((r.id, r.sid) for r in verify.occurrences(quotes, sources, "quote", "text").collect())
     assert whole == [("1", "s"), ("2", "s"), ("3", "s"), ("3", "t"), ("8", "t")]
-    assert whole == sorted((r.id, r.sid) for r in verify.occurrences(quotes, sources, "quote", "text", block=2).collect())
+    assert whole == sorted((r.id, r.sid) for r in verify.occurrences(quotes, sources, "quote", "text", block=8).collect())
+
+
+def test_occurrences_by_runs(spark):
+    text = "An old  court, it said,\nheld that the law of the land is the law.  So it is. the law of the land is the law"
+    quotes = [(str(i), text[a : a + n]) for i, (a, n) in enumerate((a, n) for a in range(0, len(text), 3) for n in (1, 9, 20, 37, 60))]
+    quotes += [("absent", "held that the law of the sea is the law"), ("again", quotes[3][1]), ("blanks", "     "), ("none", None)]
+    sources = [("s", text), ("copy", text), ("t", text[10:70]), ("u", "law of the land " * 50), ("e", ""), ("n", None)]
+    asked = values(spark, quotes, "id, quote")
+    got = sorted((r.id, r.sid) for r in verify.occurrences(asked, values(spark, sources, "sid, text"), "quote", "text").collect())
+    assert got == sorted((i, k) for i, q in quotes for k, t in sources if q and t and q in t)
+    assert verify.occurrences(asked.limit(0), values(spark, sources, "sid, text"), "quote", "text").count() == 0
 
 
 def _docx(*paragraphs):
