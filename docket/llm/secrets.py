@@ -135,7 +135,11 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The rows with every secret replaced by a mask (overlapping ones by one); null texts stay null."""
+    """The rows with every secret replaced by a mask (overlapping ones by one), other columns unchanged.
+
+    Whole texts are masked, however long; null texts stay null, empty ones empty; repeated rows get equal results; an
+    empty table gives an empty result.
+    """
 
     def masked(text: str | None) -> str | None:
         if text is None:
@@ -151,7 +155,8 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> D
         return lambda texts: [[masked(t) for t in texts]]
 
     names = docs.columns
-    return map_column(spread(docs), text_col, "_masked string", start).drop(text_col).withColumnRenamed("_masked", text_col).select(*names)
+    new = "_" * (1 + max(map(len, names))) + "masked"  # longer than any column's name
+    return map_column(spread(docs), text_col, f"{new} string", start).drop(text_col).withColumnRenamed(new, text_col).select(*names)
 
 
 def joined(spans_col: str, kinds: tuple[str, ...] = KINDS) -> Column:

@@ -5,6 +5,7 @@ import hashlib
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docket.llm import queries, secrets, toxicity
@@ -60,6 +61,51 @@ def test_stage_columns(spark):
         assert stage(spark, docs, SF).columns == docs.columns
 
 
+_CLASHING = ["score", "predicted", "_masked", "component_id", "fingerprint", "item", "_row", "_toxic", "n_tokens"]
+
+
+def _odd_documents(spark):
+    """Real documents, and rows with nulls, empty and very long texts, repeated ids and columns named as inner ones."""
+    docs = table(spark, SF, "documents").where("doc_id < 60")
+    odd = [(None, "no id, but words of its own", "en", "a", 27), (None, None, None, None, None), (9001, "", "en", "a", 0), (9002, "", None, "b", 0), (9003, None, "fr", None, None),
+           (9004, " ".join(f"w{i % 997}x{i % 89}" for i in range(200_000)), "en", "a", 1), (9005, "one text of an id that comes twice", "en", "a", 34), (9005, "another text of an id that comes twice, unlike it", "en", "b", 1),
+           (9006, "password = abcdefgh12345678 and nothing more", "en", "a", 44), (9006, "password = abcdefgh12345678 and nothing more", "en", "a", 44)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    for c in _CLASHING:
+        docs = docs.withColumn(c, F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    return docs.cache()
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_of_odd_rows(spark, name, stage):
+    docs = _odd_documents(spark)
+    out = stage(spark, docs, SF)
+    kept = out.collect()
+    assert all(r[c] == f"{c}{'-' if r.doc_id is None else r.doc_id}" for r in kept for c in _CLASHING if c != "n_tokens")
+    if name == "bpe":
+        assert len(kept) == docs.count() and {r.n_tokens for r in kept if r.doc_id in (9001, 9002, 9003)} == {0}
+        return
+    assert out.columns == docs.columns
+    rows, odd = lambda rs: sorted(map(str, rs)), lambda i: [r for r in kept if r.doc_id == i]
+    if name != "secrets":
+        assert not set(rows(kept)) - set(rows(docs.collect()))
+    assert len(odd(None)) == 2 and len(odd(9004)) == 1
+    if name == "near_duplicates":
+        assert len(odd(9001)) == 1 and not odd(9002) and not odd(9003)
+        assert len(odd(9005)) == 1 and len(odd(9006)) == 1
+        assert rows(kept) == rows(stage(spark, docs.repartition(5), SF).collect())
+    else:
+        assert all(len(odd(i)) == n for i, n in ((9001, 1), (9002, 1), (9003, 1), (9005, 2), (9006, 2)))
+    if name == "secrets":
+        assert [(r.text, r.n_chars) for r in odd(9006)] == [("[SECRET] and nothing more", 25)] * 2
+        assert odd(9003)[0].text is None and odd(9003)[0].n_chars is None and len(kept) == docs.count()
+
+
+def test_stages_of_nothing(spark):
+    docs = table(spark, SF, "documents").limit(0)
+    assert all(stage(spark, docs, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
